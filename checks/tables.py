@@ -129,7 +129,8 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build):
 def sparse_index(spark: SparkSession, sf_dir: str) -> I.SparseIndex:
     def build():
         store = SparseStore(spark, new_folder(spark, "sparse"), PARAMS)
-        return store.save(I.build_sparse_index(documents(spark, sf_dir), PARAMS))
+        store.append(documents(spark, sf_dir), batch_id=0)
+        return store.refresh()
     return _once(spark, sf_dir, "sparse", build)
 
 

@@ -16,6 +16,7 @@ from docsearch import fixed_values as V
 
 # Unicode white space plus the four separators that Python also counts.
 _SPACE = r"\s\x1c-\x1f"
+_KEPT = r"\p{L}\p{N}_$.,/\-"
 _NON_ASCII = r"[^\x00-\x7f]"
 
 
@@ -68,10 +69,15 @@ def mask_patterns(c: Column | str) -> Column:
 def clean_text(c: Column | str) -> Column:
     """Normalise text for indexing: lower case, placeholders, plain characters."""
     masked = mask_patterns(collapse_spaces(F.lower(_col(c))))
-    plain = F.regexp_replace(masked, r"[^\p{L}\p{N}_ $.,/-]", " ")
+    plain = F.regexp_replace(masked, rf"[^{_KEPT} ]", " ")
     return F.coalesce(F.trim(F.regexp_replace(plain, " +", " ")), F.lit(""))
 
 
+def survives_cleaning(c: Column | str) -> Column:
+    """True when ``clean_text`` leaves something of the text."""
+    return F.coalesce(_col(c).rlike(f"[{_KEPT}]"), F.lit(False))
+
+
 # --- extraction -------------------------------------------------------------
 
 
@@ -184,18 +190,20 @@ def ngrams(tokens: Column | str, ngram_range: tuple[int, int] = V.NGRAM_RANGE) -
     """Runs of ``low`` to ``high`` neighbouring tokens, joined by a space."""
     low, high = ngram_range
 
-    def runs_of(tokens: Column, n: int) -> Column:
-        if n == 1:
-            return tokens
-        runs = F.transform(
-            F.sequence(F.lit(1), F.size(tokens) - (n - 1)),
-            lambda i: F.array_join(F.slice(tokens, i, F.lit(n)), " "),
-        )
-        return F.when(F.size(tokens) >= n, runs).otherwise(F.array().cast("array<string>"))
+    def all_runs(t: Column) -> Column:
+        size, runs, parts = F.size(t), t, []
+        for n in range(1, high + 1):
+            if n > 1:
+                longer = F.zip_with(
+                    F.slice(runs, F.lit(1), size - (n - 1)), F.slice(t, F.lit(n), size),
+                    lambda run, token: F.concat(run, F.lit(" "), token),
+                )
+                runs = F.when(size >= n, longer).otherwise(F.array().cast("array<string>"))
+            if n >= low:
+                parts.append(runs)
+        return parts[0] if len(parts) == 1 else F.concat(*parts)
 
-    return let(_col(tokens), lambda t: F.concat(
-        *[runs_of(t, n) for n in range(low, high + 1)]
-    ))
+    return let(_col(tokens), all_runs)
 
 
 def term_counts(terms: Column | str) -> Column:
@@ -206,19 +214,15 @@ def term_counts(terms: Column | str) -> Column:
     def runs(ordered: Column) -> Column:
         n = F.size(ordered)
         starts = F.filter(
-            F.sequence(F.lit(1), n),
-            lambda i: (i == 1) | (F.get(ordered, i - 2) != F.get(ordered, i - 1)),
+            F.sequence(F.lit(0), n - 1),
+            lambda i: (i == 0) | (ordered[i] != F.get(ordered, i - 1)),
         )
-        return let(starts, lambda s: F.transform(
-            s,
-            lambda start, j: F.struct(
-                F.get(ordered, start - 1).alias("term"),
-                (F.coalesce(F.get(s, j + 1), n + 1) - start).cast("bigint").alias("tf"),
-            ),
-        ))
+        return F.when(n > 0, let(starts, lambda s: F.transform(s, lambda start, j: F.struct(
+            ordered[start].alias("term"),
+            (F.coalesce(F.get(s, j + 1), n) - start).cast("bigint").alias("tf"),
+        ))))
 
-    terms = _col(terms)
-    return F.when(F.size(terms) > 0, let(F.sort_array(terms), runs))
+    return let(F.sort_array(_col(terms)), runs)
 
 
 # --- query terms, matches, snippets ------------------------------------------
@@ -250,18 +254,19 @@ def matched_terms(content: Column | str, terms: Column | str) -> Column:
 def _best_offset(low: Column, length: Column, terms: Column, max_length: int) -> Column:
     """Offset of the first window that holds the most terms.
 
-    The text is cut once into step-sized blocks and each window is joined from
-    its blocks, so the work grows linearly with the text.
+    Terms that occur nowhere in the text are left out first. The text is cut
+    once into step-sized blocks and each window is joined from its blocks, so
+    the work grows linearly with the text.
     """
     step = V.SNIPPET_STEP
     per_window = -(-max_length // step)
 
-    def scan(blocks: Column) -> Column:
+    def scan(blocks: Column, present: Column) -> Column:
         def window_score(i: Column) -> Column:
             window = F.substring(
                 F.array_join(F.slice(blocks, i + 1, F.lit(per_window)), ""), 1, max_length
             )
-            found = let(window, lambda w: F.size(F.filter(terms, lambda t: F.contains(w, t))))
+            found = let(window, lambda w: F.size(F.filter(present, lambda t: F.contains(w, t))))
             return F.struct(found.alias("found"), (-i).alias("at"))
 
         windows = F.transform(
@@ -272,8 +277,14 @@ def _best_offset(low: Column, length: Column, terms: Column, max_length: int) ->
             best["found"] > 0, -best["at"] * step
         ).otherwise(0))
 
-    blocks = F.regexp_extract_all(low, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
-    return F.when(length > max_length, let(blocks, scan)).otherwise(0)
+    def with_present(present: Column) -> Column:
+        blocks = F.regexp_extract_all(low, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
+        return F.when(
+            F.size(present) > 0, let(blocks, lambda cut: scan(cut, present))
+        ).otherwise(0)
+
+    present = F.filter(terms, lambda t: F.contains(low, t))
+    return F.when(length > max_length, let(present, with_present)).otherwise(0)
 
 
 def context_snippet(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.ml.feature import (
     CountVectorizerModel,
     ElementwiseProduct,
@@ -64,6 +65,22 @@ def document_frequency(tf: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def term_statistics(tokenised: DataFrame, ngram_range: tuple[int, int]) -> DataFrame:
+    """Document and corpus frequency of every term, straight from the tokens.
+
+    Every document gives its distinct terms once and all its terms once; both
+    are summed together, before and after one shuffle on the term.
+    """
+    terms = tokenised.select(X.ngrams("tokens", ngram_range).alias("terms"))
+    both = terms.select(F.inline(F.array(
+        F.struct(F.array_distinct("terms").alias("terms"), F.lit(1).alias("d"), F.lit(0).alias("c")),
+        F.struct("terms", F.lit(0).alias("d"), F.lit(1).alias("c")),
+    )))
+    return both.select(F.explode("terms").alias("term"), "d", "c").groupBy("term").agg(
+        F.sum("d").alias("df"), F.sum("c").alias("ctf")
+    )
+
+
 def within_df_bounds(freq: DataFrame, n_docs: int, params: SparseParams) -> DataFrame:
     return freq.filter(
         (F.col("df") >= params.min_df) & (F.col("df") <= n_docs * params.max_df)
@@ -131,7 +148,7 @@ def _weigh_in_row(tokenised: DataFrame, vocab: DataFrame, params: SparseParams)
         tf["indices"].alias("term_id"), tf["values"].alias("tf"), weight["values"].alias("weight")
     )))
     numbered = tokenised.sparkSession.createDataFrame(
-        list(enumerate(terms)), "term_id int, term string"
+        pd.DataFrame({"term_id": range(len(terms)), "term": terms}), "term_id int, term string"
     )
     return postings.join(F.broadcast(numbered), "term_id").select(
         "term", *DOC_KEY, F.col("tf").cast("bigint").alias("tf"), "weight"

@@ -83,10 +83,14 @@ def normalise_documents(docs: DataFrame) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame) -> DataFrame:
-    """Replace content by cleaned content; drop documents left without text."""
+    """Replace content by cleaned content; drop documents left without text.
+
+    Cleaning leaves no text exactly where the raw text has none of the kept
+    characters. That test is run first, so nothing is cleaned twice.
+    """
     return (
-        docs.withColumn("content", X.clean_text("content"))
-        .filter(F.col("content") != "")
+        docs.filter(X.survives_cleaning("content"))
+        .withColumn("content", X.clean_text("content"))
     )
 
 

@@ -61,11 +61,6 @@ def tokenised_documents(docs: DataFrame, params: SparseParams) -> DataFrame:
     return sparse.with_tokens(validate.clean_documents(with_batch(spread(docs))), params)
 
 
-def term_statistics(tokenised: DataFrame, params: SparseParams) -> DataFrame:
-    """Document and corpus frequency of every term."""
-    return sparse.document_frequency(sparse.term_frequency(tokenised, params.ngram_range))
-
-
 def fit_vocabulary(
     freq: DataFrame, n_docs: int, params: SparseParams
 ) -> tuple[DataFrame, int]:
@@ -87,7 +82,7 @@ def index_from_tokens(
     n_docs = tokenised.count()
     fitted = params.for_corpus(n_docs)
     if freq is None:
-        freq = term_statistics(tokenised, fitted)
+        freq = sparse.term_statistics(tokenised, fitted.ngram_range)
     vocab, rows = fit_vocabulary(freq, n_docs, fitted)
     if rows == 0 and n_docs > 0:
         fitted = fitted.permissive()
@@ -95,7 +90,9 @@ def index_from_tokens(
     if rows == 0 and n_docs > 0:
         fitted = fitted.last_resort(n_docs)
         tokenised = written(sparse.with_tokens(tokenised, fitted), "docs")
-        vocab, rows = fit_vocabulary(term_statistics(tokenised, fitted), n_docs, fitted)
+        vocab, rows = fit_vocabulary(
+            sparse.term_statistics(tokenised, fitted.ngram_range), n_docs, fitted
+        )
     postings = sparse.tfidf_weights(tokenised, vocab, fitted, rows)
     return SparseIndex(tokenised, vocab, postings, n_docs, rows, fitted)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -11,9 +12,9 @@ from docsearch import fixed_values as V
 from docsearch.functions import text as X
 from docsearch.functions.vectors import normalise
 from docsearch.operators import dense, filters, fusion, sparse, validate
-from docsearch.plans.index import DenseIndex, SparseIndex, doc_bucket
-from docsearch.runtime import broadcast_if
-from docsearch.schema import QUERIES, REQUEST
+from docsearch.plans.index import DenseIndex, SparseIndex, doc_bucket, index_from_tokens
+from docsearch.runtime import broadcast_if, written
+from docsearch.schema import QUERIES, REQUEST, SparseParams
 
 # Up to this many distinct query terms are pushed to the postings scan.
 PUSHED_TERMS = 2_000
@@ -344,3 +345,30 @@ def search(
     if mode == "hybrid":
         return search_hybrid(sparse_index, dense_index, queries, **options)
     raise ValueError(f"unknown search mode: {mode}")
+
+
+# --- growth report ------------------------------------------------------------
+
+
+def corpus_growth(
+    tokenised: DataFrame, queries: DataFrame, sizes: Sequence[int], params: SparseParams
+) -> DataFrame:
+    """Vocabulary size and number of hits when the first n documents, and then
+    all of them, are indexed. Sizes above the corpus are left out."""
+    total = tokenised.count()
+    bounds = query_bounds(queries)
+    steps = [n for n in sizes if n < total]
+    report = None
+    for n in (*steps, total):
+        part = tokenised
+        if n < total:
+            part = written(tokenised.orderBy(*sparse.DOC_KEY).limit(n), "first_docs")
+        index = index_from_tokens(part, params)
+        row = sparse_hits(index, queries, bounds, factor=1).agg(
+            F.count("*").alias("results_count")
+        ).select(
+            F.lit(n).cast("bigint").alias("n_docs"),
+            F.lit(index.vocab_rows).cast("bigint").alias("vocabulary_size"), "results_count",
+        )
+        report = row if report is None else report.unionByName(row)
+    return report

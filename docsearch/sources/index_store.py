@@ -94,7 +94,7 @@ class SparseStore:
                                      self.params)
         self._write_docs(rows, batch_id)
         stored = self._docs().filter(F.col("batch_id") == batch_id)
-        freq = I.term_statistics(stored, self.params)
+        freq = sparse.term_statistics(stored, self.params.ngram_range)
         freq.write.mode("overwrite").parquet(f"{self.root}/freq/batch_id={batch_id}")
 
     def refresh(self) -> I.SparseIndex:
