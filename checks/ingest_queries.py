@@ -197,7 +197,7 @@ UNION ALL SELECT 'receipt_' || num, concat_ws(chr(10), 'RECEIPT #RCP-' || num,
 
 @query("render_documents", sql((), f"""SELECT doc_id, content,
     replace(replace(lower(name), ' ', '_'), '.', '') AS entity_id, doc_type,
-    strftime(date, '%Y-%m-%d') AS date, round(gross, 4) AS gross,
+    strftime(date, '%Y-%m-%d') AS date, round(gross, 6) AS gross,
     CASE doc_type WHEN 'receipt' THEN replace(lower(item), ' ', '_')
         ELSE lower(split_part(item, ' ', 1)) END AS category FROM rendered""", _RENDERED))
 def render_documents(spark, sf_dir):
@@ -212,7 +212,7 @@ def render_documents(spark, sf_dir):
     return rendered(spark, sf_dir).select(
         "doc_id", "content", "entity_id", "doc_type",
         F.date_format("date", "yyyy-MM-dd").alias("date"),
-        F.round(gross, 4).alias("gross"), category.alias("category"),
+        F.round(gross, 6).alias("gross"), category.alias("category"),
     )
 
 
@@ -394,7 +394,7 @@ def distinct_filters(spark, sf_dir):
     ])
 
 
-@query("check_results", sql("dense_scored", f"""SELECT query_id, d.doc_id, round(score, 6) AS score
+@query("check_results", sql(("dense_scored", "docs"), f"""SELECT query_id, d.doc_id, round(score, 6) AS score
     FROM dense_scored s JOIN docs d USING (doc_id)
     WHERE score >= 0 AND NOT {blank("left(d.content, 20)")}"""))
 def check_results(spark, sf_dir):

@@ -75,23 +75,23 @@ def matched(content: str, terms: str) -> str:
 def snippet(source: str, name: str, length: int = 200) -> str:
     """CTEs that add ``context_snippet`` to ``source`` (columns content, terms)."""
     return rf"""
-{name}_1 AS (SELECT *, lower(content) AS low, length(content) AS n FROM {source}),
-{name}_2 AS (SELECT *, CASE WHEN n > {length} THEN list_max(list_transform(
+{name}_1 AS MATERIALIZED (SELECT *, lower(content) AS low, length(content) AS n FROM {source}),
+{name}_2 AS MATERIALIZED (SELECT *, CASE WHEN n > {length} THEN list_max(list_transform(
     range(0, n - {length} + 1, 20),
     lambda i: len(list_filter(terms, lambda t: contains(substring(low, CAST(i AS INTEGER) + 1, {length}), t)))
         * 1000000000 - i)) ELSE 0 END AS score_at FROM {name}_1),
-{name}_3 AS (SELECT * EXCLUDE (score_at),
+{name}_3 AS MATERIALIZED (SELECT * EXCLUDE (score_at),
     CASE WHEN score_at <= 0 THEN 0
     ELSE ((score_at + 999999999) // 1000000000) * 1000000000 - score_at END AS best FROM {name}_2),
-{name}_4 AS (SELECT *, substring(content, best + 1, {length}) AS raw FROM {name}_3),
-{name}_5 AS (SELECT *, CASE WHEN best > 0 AND strpos(raw, ' ') > 1
+{name}_4 AS MATERIALIZED (SELECT *, substring(content, best + 1, {length}) AS raw FROM {name}_3),
+{name}_5 AS MATERIALIZED (SELECT *, CASE WHEN best > 0 AND strpos(raw, ' ') > 1
     THEN substring(raw, strpos(raw, ' ') + 1) ELSE raw END AS cut FROM {name}_4),
-{name}_6 AS (SELECT *, length(cut) - strpos(reverse(cut), ' ') AS gap FROM {name}_5),
-{name}_7 AS (SELECT * REPLACE (CASE WHEN length(cut) = {length}
+{name}_6 AS MATERIALIZED (SELECT *, length(cut) - strpos(reverse(cut), ' ') AS gap FROM {name}_5),
+{name}_7 AS MATERIALIZED (SELECT * REPLACE (CASE WHEN length(cut) = {length}
     AND substring(content, best + {length} + 1, 1) <> ' ' AND strpos(cut, ' ') > 0
     AND gap > {length} * 0.8 THEN substring(cut, 1, gap) ELSE cut END AS cut) FROM {name}_6),
-{name}_8 AS (SELECT * REPLACE (CASE WHEN best > 0 THEN '...' || cut ELSE cut END AS cut) FROM {name}_7),
-{name} AS (SELECT * EXCLUDE (low, n, best, raw, cut, gap),
+{name}_8 AS MATERIALIZED (SELECT * REPLACE (CASE WHEN best > 0 THEN '...' || cut ELSE cut END AS cut) FROM {name}_7),
+{name} AS MATERIALIZED (SELECT * EXCLUDE (low, n, best, raw, cut, gap),
     CASE WHEN len(terms) = 0 THEN substring(content, 1, {length})
     ELSE {strip(f"CASE WHEN best + length(cut) < n THEN cut || '...' ELSE cut END")} END
     AS context_snippet FROM {name}_8)"""
@@ -218,12 +218,12 @@ def presented(hits: str, source: str, name: str = "results") -> str:
     """CTEs from hits to result rows; ``source`` is the SQL that gives the
     document of a hit (columns of ``docs``)."""
     return f"""
-{name}_hits AS (SELECT h.query_id, h.doc_id, h.score, d.entity_id, d.doc_type, d.date, d.content,
+{name}_hits AS MATERIALIZED (SELECT h.query_id, h.doc_id, h.score, d.entity_id, d.doc_type, d.date, d.content,
     {query_words("q.text")} AS terms, q.max_results
     FROM {hits} h JOIN queries q USING (query_id) JOIN ({source}) d ON d.doc_id = h.doc_id
     WHERE {PASSES}),
 {snippet(f"{name}_hits", f"{name}_cut")},
-{name}_ranked AS (SELECT *, {matched("content", "terms")} AS matched_terms,
+{name}_ranked AS MATERIALIZED (SELECT *, {matched("content", "terms")} AS matched_terms,
     CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
     FROM {name}_cut),
 {name} AS MATERIALIZED (SELECT * FROM {name}_ranked WHERE NOT {blank("context_snippet")}

@@ -360,10 +360,11 @@ def embedding_text(
     content: Column | str, doc_type: Column | str, entity_id: Column | str
 ) -> Column:
     """Text given to the encoder for a document."""
-    body = let(clean_text(content), lambda t: F.when(
-        F.length(t) > V.EMBEDDING_TEXT_LENGTH,
-        F.substring(key_sections(t), 1, V.EMBEDDING_TEXT_LENGTH),
-    ).otherwise(t))
+    cleaned = clean_text(content)
+    body = F.when(
+        F.length(cleaned) > V.EMBEDDING_TEXT_LENGTH,
+        F.substring(key_sections(cleaned), 1, V.EMBEDDING_TEXT_LENGTH),
+    ).otherwise(cleaned)
     return F.concat(
         F.lit("["), F.upper(_col(doc_type)), F.lit("] [ENTITY: "), _col(entity_id),
         F.lit("] "), body,
