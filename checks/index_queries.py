@@ -5,15 +5,11 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from checks import settings as S
 from checks import tables as T
-from checks.oracle import (
-    CTES, _MAX, _RRF, _WEIGHTED, PASSES, clean, fused, inner, query_table, sql, top, unit, words,
-)
+from checks.oracle import MAX, RRF, WEIGHTED, clean, fused, inner, query_table, sql, unit
 from checks.registry import query
 from docsearch import fixed_values as V
-from docsearch.functions import text as X
-from docsearch.operators import dense, filters, fusion, sparse, validate
+from docsearch.operators import dense, fusion, sparse
 from docsearch.plans import index as I
 from docsearch.plans import search as P
 
@@ -323,13 +319,13 @@ def _fusion(name, method, score):
     return run
 
 
-_fusion("fuse_weighted", "weighted_sum", _WEIGHTED)
-_fusion("fuse_max", "max", _MAX)
-_fusion("fuse_rrf", "rank_fusion", _RRF)
+_fusion("fuse_weighted", "weighted_sum", WEIGHTED)
+_fusion("fuse_max", "max", MAX)
+_fusion("fuse_rrf", "rank_fusion", RRF)
 
 
 @query("topk_hybrid", sql("fusion", "SELECT query_id, doc_id, round(score, 6) AS score, "
-       "CAST(position AS INTEGER) AS position FROM hybrid_top", fused(_WEIGHTED),
+       "CAST(position AS INTEGER) AS position FROM hybrid_top", fused(WEIGHTED),
        queries=VECTOR_QUERIES))
 def topk_hybrid(spark, sf_dir):
     queries = T.with_vectors(T.benchmark_queries(spark, sf_dir), spark, sf_dir)

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from checks import settings as S
 from checks import tables as T
-from checks.oracle import RESULT, blank, clean, presented, sql, strip, words
+from checks.oracle import blank, clean, presented, sql, strip, words
 from checks.registry import query
 from docsearch import fixed_values as V
 from docsearch.functions import text as X
-from docsearch.operators import sparse, validate
+from docsearch.operators import validate
 from docsearch.plans import index as I
 from docsearch.plans import search as P
 from docsearch.runtime import new_folder
@@ -257,7 +257,8 @@ def results_json(spark, sf_dir):
 @query("search_response", sql("sparse_top", """SELECT query_id, q.text AS query,
     CAST(count(r.doc_id) AS INTEGER) AS results_count,
     coalesce(string_agg(r.doc_id, '|' ORDER BY r.rank), '') AS doc_ids
-    FROM queries q LEFT JOIN results r USING (query_id) GROUP BY ALL""", _RESULTS))
+    FROM queries q LEFT JOIN results r USING (query_id) GROUP BY ALL""",
+    presented("sparse_top", "SELECT * FROM cleaned", texts=False)))
 def search_response(spark, sf_dir):
     queries = T.benchmark_queries(spark, sf_dir)
     results = P.search_sparse(T.sparse_index(spark, sf_dir), queries)

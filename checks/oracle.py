@@ -75,11 +75,13 @@ def matched(content: str, terms: str) -> str:
 def snippet(source: str, name: str, length: int = 200) -> str:
     """CTEs that add ``context_snippet`` to ``source`` (columns content, terms)."""
     return rf"""
-{name}_1 AS MATERIALIZED (SELECT *, lower(content) AS low, length(content) AS n FROM {source}),
-{name}_2 AS MATERIALIZED (SELECT *, CASE WHEN n > {length} THEN list_max(list_transform(
-    range(0, n - {length} + 1, 20),
-    lambda i: len(list_filter(terms, lambda t: contains(substring(low, CAST(i AS INTEGER) + 1, {length}), t)))
-        * 1000000000 - i)) ELSE 0 END AS score_at FROM {name}_1),
+{name}_1 AS MATERIALIZED (SELECT *, lower(content) AS low, length(content) AS n,
+    list_filter(terms, lambda t: contains(lower(content), t)) AS present FROM {source}),
+{name}_2 AS MATERIALIZED (SELECT * EXCLUDE (present), CASE WHEN n > {length} AND len(present) > 0
+    THEN list_max(list_transform(list_transform(range(0, n - {length} + 1, 20),
+        lambda i: {{'at': i, 'w': substring(low, CAST(i AS INTEGER) + 1, {length})}}),
+    lambda x: len(list_filter(present, lambda t: contains(x.w, t))) * 1000000000 - x.at))
+    ELSE 0 END AS score_at FROM {name}_1),
 {name}_3 AS MATERIALIZED (SELECT * EXCLUDE (score_at),
     CASE WHEN score_at <= 0 THEN 0
     ELSE ((score_at + 999999999) // 1000000000) * 1000000000 - score_at END AS best FROM {name}_2),
@@ -199,9 +201,9 @@ cte("fusion", ("sparse_wide", "dense_wide"), """fusion AS MATERIALIZED (
         d.score AS dense_score, d.position AS dense_rank
     FROM sparse_wide s FULL JOIN dense_wide d ON s.query_id = d.query_id AND s.doc_id = d.doc_id)""")
 
-_WEIGHTED = "round(0.4 * coalesce(sparse_score, 0) + 0.6 * coalesce(dense_score, 0), 12)"
-_MAX = "round(greatest(coalesce(sparse_score, 0), coalesce(dense_score, 0)), 12)"
-_RRF = """round(1.0 / (60 + coalesce(sparse_rank, coalesce(max(sparse_rank) OVER q, 0) + 1))
+WEIGHTED = "round(0.4 * coalesce(sparse_score, 0) + 0.6 * coalesce(dense_score, 0), 12)"
+MAX = "round(greatest(coalesce(sparse_score, 0), coalesce(dense_score, 0)), 12)"
+RRF = """round(1.0 / (60 + coalesce(sparse_rank, coalesce(max(sparse_rank) OVER q, 0) + 1))
     + 1.0 / (60 + coalesce(dense_rank, coalesce(max(dense_rank) OVER q, 0) + 1)), 12)"""
 
 
@@ -214,19 +216,28 @@ def fused(score: str, name: str = "hybrid_top") -> str:
     FROM fused f JOIN queries q USING (query_id)) WHERE position <= 2 * max_results)"""
 
 
-def presented(hits: str, source: str, name: str = "results") -> str:
+def presented(hits: str, source: str, name: str = "results", texts: bool = True) -> str:
     """CTEs from hits to result rows; ``source`` is the SQL that gives the
-    document of a hit (columns of ``docs``)."""
+    document of a hit (columns of ``docs``). Without ``texts`` the snippet and
+    the matched terms are left out."""
+    extras, cut = "", f"{name}_hits"
+    content = ""
+    if texts:
+        cut = f"{name}_cut"
+        extras = f"{snippet(f'{name}_hits', cut)},"
+        content = f"d.content, {query_words('q.text')} AS terms,"
+    matches = f"{matched('content', 'terms')} AS matched_terms," if texts else ""
+    kept = f"WHERE NOT {blank('context_snippet')}" if texts else ""
     return f"""
-{name}_hits AS MATERIALIZED (SELECT h.query_id, h.doc_id, h.score, d.entity_id, d.doc_type, d.date, d.content,
-    {query_words("q.text")} AS terms, q.max_results
+{name}_hits AS MATERIALIZED (SELECT h.query_id, h.doc_id, h.score, d.entity_id, d.doc_type, d.date,
+    {content} q.max_results
     FROM {hits} h JOIN queries q USING (query_id) JOIN ({source}) d ON d.doc_id = h.doc_id
     WHERE {PASSES}),
-{snippet(f"{name}_hits", f"{name}_cut")},
-{name}_ranked AS MATERIALIZED (SELECT *, {matched("content", "terms")} AS matched_terms,
+{extras}
+{name}_ranked AS MATERIALIZED (SELECT *, {matches}
     CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
-    FROM {name}_cut),
-{name} AS MATERIALIZED (SELECT * FROM {name}_ranked WHERE NOT {blank("context_snippet")}
+    FROM {cut}),
+{name} AS MATERIALIZED (SELECT * FROM {name}_ranked {kept}
     QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY rank) <= max_results)"""
 
 

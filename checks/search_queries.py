@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import settings as S
 from checks import tables as T
 from checks.index_queries import VECTOR_QUERIES
 from checks.oracle import (
-    CTES, PASSES, RESULT, _MAX, _RRF, _WEIGHTED, bigrams, clean, fused, presented, query_table,
-    query_words, sql, tokens, top, unit, inner, words,
+    PASSES, RESULT, WEIGHTED, bigrams, clean, fused, presented, query_table, sql, tokens, top,
+    words,
 )
 from checks.registry import query
 from docsearch import fixed_values as V
-from docsearch.functions import text as X
-from docsearch.operators import filters, sparse, stats, validate
-from docsearch.plans import index as I
+from docsearch.operators import filters, sparse, stats
 from docsearch.plans import search as P
 
 
@@ -135,19 +132,18 @@ def prefiltered_search(spark, sf_dir):
 # --- searches ---------------------------------------------------------------------
 
 _SPARSE = presented("sparse_top", "SELECT * FROM cleaned")
+_RANKS = presented("sparse_top", "SELECT * FROM cleaned", texts=False)
 _DENSE = presented("dense_top", "SELECT * FROM docs")
-_HYBRID_SOURCE = """SELECT * FROM (SELECT f.query_id AS fq, f.in_sparse, d.* FROM hybrid_top f
-    JOIN docs d USING (doc_id))"""
 
 
-def _hybrid(score, name="results"):
+def _hybrid(score, name="results", texts=True):
     """Hybrid result CTEs: cleaned text for a document of the keyword list."""
     return fused(score) + f""",
 hybrid_docs AS (SELECT h.query_id || '|' || h.doc_id AS doc_id, d.doc_id AS own_id, d.entity_id,
     d.doc_type, d.date, CASE WHEN h.in_sparse THEN c.content ELSE d.content END AS content
     FROM hybrid_top h JOIN docs d USING (doc_id) LEFT JOIN cleaned c USING (doc_id)),
 hybrid_keyed AS (SELECT query_id, query_id || '|' || doc_id AS doc_id, score FROM hybrid_top),
-{presented("hybrid_keyed", "SELECT * FROM hybrid_docs", name)}"""
+{presented("hybrid_keyed", "SELECT * FROM hybrid_docs", name, texts)}"""
 
 
 _HYBRID_RESULT = RESULT.replace("query_id, doc_id,", "query_id, split_part(doc_id, '|', 2) AS doc_id,")
@@ -168,7 +164,7 @@ def search_dense(spark, sf_dir):
 
 
 @query("search_hybrid", sql(("fusion", "cleaned"), f"SELECT {_HYBRID_RESULT} FROM results",
-                            _hybrid(_WEIGHTED), queries=VECTOR_QUERIES))
+                            _hybrid(WEIGHTED), queries=VECTOR_QUERIES))
 def search_hybrid(spark, sf_dir):
     queries = T.with_vectors(T.benchmark_queries(spark, sf_dir), spark, sf_dir)
     return _rows(P.search(
@@ -191,7 +187,7 @@ def search_text(spark, sf_dir):
 
 
 @query("batch_search", sql("sparse_top", """SELECT query_id, doc_id, round(score, 6) AS score,
-    rank FROM results""", _SPARSE, queries=query_table(0.02, 50, filtered=False)))
+    rank FROM results""", _RANKS, queries=query_table(0.02, 50, filtered=False)))
 def batch_search(spark, sf_dir):
     queries = T.benchmark_queries(spark, sf_dir, 0.02, 50, filtered=False)
     return P.search_sparse(T.sparse_index(spark, sf_dir), queries).select(
@@ -226,7 +222,7 @@ def search_request(spark, sf_dir):
 
 # --- reports ----------------------------------------------------------------------
 
-_SWEEP = f"""{_SPARSE}, steps AS (SELECT unnest([{", ".join(map(str, V.SWEEP_THRESHOLDS))}])::DOUBLE
+_SWEEP = f"""{_RANKS}, steps AS (SELECT unnest([{", ".join(map(str, V.SWEEP_THRESHOLDS))}])::DOUBLE
     AS threshold)"""
 
 
@@ -245,8 +241,9 @@ def threshold_sweep(spark, sf_dir):
     )
 
 
-_ALL_MODES = f"""{presented("sparse_top", "SELECT * FROM cleaned", "r_sparse")},
-{presented("dense_top", "SELECT * FROM docs", "r_dense")}, {_hybrid(_WEIGHTED, "r_hybrid")},
+_ALL_MODES = f"""{presented("sparse_top", "SELECT * FROM cleaned", "r_sparse", False)},
+{presented("dense_top", "SELECT * FROM docs", "r_dense", False)},
+{_hybrid(WEIGHTED, "r_hybrid", False)},
 all_modes AS (SELECT query_id, 'tfidf' AS search_mode, score, rank FROM r_sparse
     UNION ALL SELECT query_id, 'transformer', score, rank FROM r_dense
     UNION ALL SELECT query_id, 'hybrid', score, rank FROM r_hybrid)"""
