@@ -255,25 +255,53 @@ def _best_offset(low: Column, length: Column, terms: Column, max_length: int) ->
     """Offset of the first window that holds the most terms.
 
     Terms that occur nowhere in the text are left out first. The text is cut
-    once into step-sized blocks and each window is joined from its blocks, so
-    the work grows linearly with the text.
+    once into step-sized blocks, and a window is joined from its blocks, so the
+    work grows linearly with the text. A stretch of ten windows holds at least
+    the terms of each of them; only stretches that can beat the best window of
+    the fullest stretch are looked at window by window.
     """
-    step = V.SNIPPET_STEP
+    step, group = V.SNIPPET_STEP, 10
     per_window = -(-max_length // step)
 
     def scan(blocks: Column, present: Column) -> Column:
-        def window_score(i: Column) -> Column:
-            window = F.substring(
-                F.array_join(F.slice(blocks, i + 1, F.lit(per_window)), ""), 1, max_length
+        last = F.floor((length - max_length) / step).cast("int")
+
+        def held(first_block: Column, n_blocks: int, n_chars: int) -> Column:
+            text = F.substring(
+                F.array_join(F.slice(blocks, first_block + 1, F.lit(n_blocks)), ""), 1, n_chars
             )
-            found = let(window, lambda w: F.size(F.filter(present, lambda t: F.contains(w, t))))
-            return F.struct(found.alias("found"), (-i).alias("at"))
+            return let(text, lambda w: F.size(F.filter(present, lambda t: F.contains(w, t))))
+
+        def window(i: Column) -> Column:
+            return F.struct(held(i, per_window, max_length).alias("found"), (-i).alias("at"))
+
+        def stretch(k: Column) -> Column:
+            n_blocks = per_window + group - 1
+            return F.struct(
+                held(k * group, n_blocks, n_blocks * step).alias("found"), (-k).alias("at")
+            )
+
+        def best_window(one: Column) -> Column:
+            first = -one["at"] * group
+            return F.array_max(F.transform(
+                F.sequence(first, F.least(first + (group - 1), last)), window
+            ))
+
+        def search(stretches: Column) -> Column:
+            def beyond(fullest: Column, best: Column) -> Column:
+                rivals = F.filter(stretches, lambda one: (one["found"] > best["found"]) & (
+                    one["at"] != fullest["at"]
+                ) | ((one["found"] == best["found"]) & (one["at"] > fullest["at"])))
+                return F.array_max(F.concat(F.array(best), F.transform(rivals, best_window)))
+
+            return let(F.array_max(stretches), lambda fullest: let(
+                best_window(fullest), lambda best: beyond(fullest, best)
+            ))
 
-        windows = F.transform(
-            F.sequence(F.lit(0), F.floor((length - max_length) / step).cast("int")),
-            window_score,
+        stretches = F.transform(
+            F.sequence(F.lit(0), F.floor(last / group).cast("int")), stretch
         )
-        return let(F.array_max(windows), lambda best: F.when(
+        return let(let(stretches, search), lambda best: F.when(
             best["found"] > 0, -best["at"] * step
         ).otherwise(0))
 
