@@ -55,7 +55,17 @@ def term_frequency(
     counted = tokenised.select(
         *keys, X.term_counts(X.ngrams("tokens", ngram_range)).alias("counts")
     )
-    return counted.select(*keys, F.inline("counts"))
+    return _unnested(counted, keys, F.col("counts"))
+
+
+def _unnested(df: DataFrame, keys: Sequence[str], counts: Column) -> DataFrame:
+    """One row per struct of an array.
+
+    Written as an outer unnesting with the empty rows dropped behind it: an
+    inner one makes Spark test the array first, and so compute it twice.
+    """
+    rows = df.select(*keys, F.inline_outer(counts))
+    return rows.filter(F.col(rows.columns[-1]).isNotNull())
 
 
 def document_frequency(tf: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -144,9 +154,9 @@ def _weigh_in_row(tokenised: DataFrame, vocab: DataFrame, params: SparseParams)
     )
     vectors = unit.transform(scale.transform(counts.transform(with_terms)))
     tf, weight = F.unwrap_udt("tf_vector"), F.unwrap_udt("unit")
-    postings = vectors.select(*DOC_KEY, F.inline(F.arrays_zip(
+    postings = _unnested(vectors, DOC_KEY, F.arrays_zip(
         tf["indices"].alias("term_id"), tf["values"].alias("tf"), weight["values"].alias("weight")
-    )))
+    ))
     numbered = tokenised.sparkSession.createDataFrame(
         pd.DataFrame({"term_id": range(len(terms)), "term": terms}), "term_id int, term string"
     )

@@ -151,7 +151,10 @@ def sparse_hits(
     prefilter: bool = False,
 ) -> DataFrame:
     """First ``factor * max_results`` documents of each query by TF-IDF cosine."""
-    weights = sparse.query_weights(queries, index.vocab, index.params, index.vocab_rows)
+    weights = written(
+        sparse.query_weights(queries, index.vocab, index.params, index.vocab_rows),
+        "query_weights",
+    )
     scored = sparse.score_sparse(
         _postings_of(index, weights), weights, bounds.n_terms, index.term_buckets
     )
