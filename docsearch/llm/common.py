@@ -177,3 +177,41 @@ def per_chunk(chunks: DataFrame, known: DataFrame, run: Callable, schema) -> Dat
     A chunk has bounded bytes of text, and ``known`` at most some rows for each word.
     """
     return chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(run, schema)
+
+
+# --- texts of one Arrow batch as arrays of words -----------------------------------
+
+#: Bytes of text that are turned into arrays at once; a longer text is a block of its own.
+BLOCK_BYTES = 4 << 20
+
+
+def text_blocks(texts: list[bytes], block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+    """Consecutive ranges of texts of about ``block_bytes``."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        if i > start and size + len(text) > block_bytes:
+            yield start, i
+            start, size = i, 0
+        size += len(text)
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def word_blocks(texts: list[bytes], rewrite: np.ndarray | None = None):
+    """For each block: first and last text, bytes, starts and ends of words, text of each word.
+
+    ``rewrite`` maps every byte before words are cut, as for case and punctuation.
+    """
+    for lo, hi in text_blocks(texts):
+        lengths = np.array([len(x) + 1 for x in texts[lo:hi]], np.int64)
+        data = np.frombuffer(b" ".join(texts[lo:hi]) + b" ", np.uint8)
+        if rewrite is not None:
+            data = rewrite[data]
+        starts, ends = word_spans(data)
+        owner = np.searchsorted(np.cumsum(lengths), starts, side="right")
+        yield lo, hi, data, starts, ends, owner
+
+
+def per_text(owner: np.ndarray, n: int, weights: np.ndarray | None = None) -> np.ndarray:
+    """Sum of the weights (or the count) of the words of each text."""
+    return np.bincount(owner, weights, minlength=n)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsearch.llm import simhash_dedup
-from docsearch.llm.common import table
+from docsearch.llm import simhash_dedup, toxicity
+from docsearch.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +31,16 @@ def hex_of(column: str):
 def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", hex_of("fingerprint").alias("fingerprint"), "component_id")
+
+
+def learned(modulus: int, left_out: int):
+    return fold("doc_id", modulus) != left_out
+
+
+@query("op4_kneser_ney_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    classifier = toxicity.fit(docs, table(spark, sf_dir, "labels"), learned(5, 0))
+    return toxicity.score(docs, classifier).select(
+        "doc_id", (~learned(5, 0)).alias("held_out"), F.col("__score").alias("score"),
+        (F.col("__score") >= 0.5).cast("int").alias("predicted"))
