@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsearch.llm import simhash_dedup, toxicity
-from docsearch.llm.common import fold, table
+from docsearch.llm import mixing, simhash_dedup, toxicity
+from docsearch.llm.common import fold, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +44,14 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, classifier).select(
         "doc_id", (~learned(5, 0)).alias("held_out"), F.col("__score").alias("score"),
         (F.col("__score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op5_entropy_mixing")
+def entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = written(table(spark, sf_dir, "documents").select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "source",
+        mixing.n_words().alias("size")), "sizes")
+    mixed = mixing.copies(rows)
+    return rows.join(mixed, "row").select(
+        "doc_id", "size", "source_size", "target",
+        (F.col("copies") * F.col("size")).alias("taken"), "copies")
