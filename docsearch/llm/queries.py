@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsearch.llm import mixing, simhash_dedup, toxicity
+from docsearch.llm import decontamination, mixing, simhash_dedup, toxicity
 from docsearch.llm.common import fold, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,9 @@ def entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(mixed, "row").select(
         "doc_id", "size", "source_size", "target",
         (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+@query("op6_bm25_decontamination")
+def contaminated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
