@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsearch.llm import decontamination, mixing, simhash_dedup, toxicity
+from docsearch.llm import decontamination, mixing, simhash_dedup, substring_dedup, toxicity
 from docsearch.llm.common import fold, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,9 @@ def entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def contaminated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.matches(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_fm_substring_dedup")
+def substring_dedup_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.cut(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
