@@ -41,7 +41,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_COPIES = 2
 MAX_SOURCES = 100_000
-GROUP_ROWS = 100_000
+GROUP_ROWS = 5_000
 CANDIDATES = 8
 _LIMIT = 700.0
 
