@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsearch.llm import decontamination, mixing, simhash_dedup, substring_dedup, toxicity
+from docsearch.llm import (
+    decontamination,
+    mixing,
+    ppm,
+    simhash_dedup,
+    substring_dedup,
+    toxicity,
+)
 from docsearch.llm.common import fold, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +74,8 @@ def contaminated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def substring_dedup_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring_dedup.cut(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op1_ppm_score")
+def ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents"), learned(7, 2))
