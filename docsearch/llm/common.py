@@ -17,7 +17,7 @@ from docsearch.runtime import new_folder, written  # noqa: F401
 #: White space between words; ``bytes.split()`` and ``bytes.lower()`` follow the same ASCII rules.
 SPACE = r"[\x20\x09-\x0D]+"
 #: Bytes of text in one chunk.
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -134,12 +134,17 @@ class HashIndex:
 # --- rows with a number, grouped into chunks of bounded size ----------------------
 
 
-def _chunked(chunk_bytes: int, at: int, fields: list[str]):
+def _chunked(chunk_bytes: int, at: int, fields: list[str], rewrite: Callable | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId() << 32
         chunk = size = row = 0
         for batch in batches:
-            lengths = np.array([len(x) for x in binary_values(batch.column(at))], np.int64)
+            texts = binary_values(batch.column(at))
+            columns = list(batch.columns)
+            if rewrite is not None:
+                texts = [rewrite(x) for x in texts]
+                columns[at] = pa.array(texts, pa.binary())
+            lengths = np.array([len(x) for x in texts], np.int64)
             chunks = np.empty(len(lengths), np.int64)
             for i, length in enumerate(lengths.tolist()):
                 if size and size + length > chunk_bytes:
@@ -149,11 +154,12 @@ def _chunked(chunk_bytes: int, at: int, fields: list[str]):
             rows = part + row + np.arange(len(lengths))
             row += len(lengths)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(chunks), pa.array(rows), *batch.columns], names=fields)
+                [pa.array(chunks), pa.array(rows), *columns], names=fields)
     return run
 
 
-def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES,
+            rewrite: Callable[[bytes], bytes] | None = None) -> DataFrame:
     """The columns of ``docs`` (one of them binary ``text``) with ``chunk`` and ``row``.
 
     Rows keep the task that read them: nothing is shuffled. The table is stored
@@ -164,7 +170,7 @@ def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     schema = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("row", T.LongType()),
                            *docs.schema.fields])
     out = docs.mapInArrow(
-        _chunked(chunk_bytes, docs.columns.index("text"), schema.names), schema)
+        _chunked(chunk_bytes, docs.columns.index("text"), schema.names, rewrite), schema)
     name = f"chunks_{uuid.uuid4().hex}"
     (out.write.bucketBy(2 * parallelism(spark), "chunk").sortBy("chunk")
      .option("path", new_folder(spark, "chunks")).saveAsTable(name))
@@ -182,7 +188,7 @@ def per_chunk(chunks: DataFrame, known: DataFrame, run: Callable, schema) -> Dat
 # --- texts of one Arrow batch as arrays of words -----------------------------------
 
 #: Bytes of text that are turned into arrays at once; a longer text is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def text_blocks(texts: list[bytes], block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
