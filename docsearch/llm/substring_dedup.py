@@ -41,8 +41,8 @@ from docsearch.llm.fm_index import FMIndex
 
 WINDOW = 35
 GRAM = 8
-HOT = 20_000
-SHARD_WORDS = 1 << 18
+HOT = 4_000
+SHARD_WORDS = 1 << 16
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -178,12 +178,9 @@ def repeated_windows(segments: list[bytes], counts: np.ndarray, window: int) ->
 
     ``counts`` says how often each segment occurs.
     """
-    text = b" ".join(segments) + b" "
-    data = np.frombuffer(text, np.uint8)
-    starts, ends = C.word_spans(data)
-    bounds = np.cumsum([len(x) + 1 for x in segments])
-    owner = np.searchsorted(bounds, starts, side="right")
-    hashes = C.span_hashes(data, starts, ends)
+    found = [(C.span_hashes(data, starts, ends), owner + lo)
+             for lo, _, data, starts, ends, owner in C.word_blocks(segments)]
+    hashes, owner = (np.concatenate(x) for x in zip(*found, strict=True))
     distinct, symbols = np.unique(hashes, return_inverse=True)
     lengths = np.bincount(owner, minlength=len(segments))
     last = np.cumsum(lengths)
