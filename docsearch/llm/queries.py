@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from docsearch.llm import (
     decontamination,
+    language_id,
     mixing,
     ppm,
     simhash_dedup,
     substring_dedup,
     toxicity,
+    url_filter,
 )
 from docsearch.llm.common import fold, table, written
 
@@ -79,3 +81,22 @@ def substring_dedup_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_ppm_score")
 def ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(table(spark, sf_dir, "documents"), learned(7, 2))
+
+
+@query("op2_ecoc_language_id")
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.predict(docs, language_id.fit(docs, learned(5, 0)))
+    return found.select("doc_id", (~learned(5, 0)).alias("held_out"), "lang_pred", "score",
+                        "ambiguous")
+
+
+URL_RULES = [
+    ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"), ("com", "/de/", "block"),
+]
+
+
+@query("op7_url_filter")
+def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
