@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from docsearch.llm import (
     decontamination,
+    fingerprint,
     language_id,
+    licenses,
     mixing,
     ppm,
     simhash_dedup,
@@ -100,3 +102,23 @@ URL_RULES = [
 @query("op7_url_filter")
 def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query("op9_simhash_fingerprints")
+def edited_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited(table(spark, sf_dir, "documents"))
+
+
+@query("fingerprint_search")
+def fingerprint_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries are the rows whose id is divisible by 100, against all rows."""
+    prints = written(fingerprint.fingerprints(table(spark, sf_dir, "documents")), "prints")
+    asked = F.col("doc_id") % 100 == 0
+    found = fingerprint.within_radius(prints, asked)
+    return prints.filter(asked).join(found, "fingerprint").select(
+        "doc_id", F.col("first_id").alias("near_id"), "n_docs", "distance")
+
+
+@query("op10_license_scan")
+def license_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
