@@ -123,7 +123,7 @@ class Decoder:
             self.weights[:, b] = odds
             self.bit_weight[b] = ((one - zero) * odds).sum()
         if len(self.bit_weight):
-            self.bit_weight /= self.bit_weight.mean()
+            self.bit_weight /= max(self.bit_weight.mean(), 1e-12)
 
     def margins(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Mean log odds of each bit, and number of n-grams."""

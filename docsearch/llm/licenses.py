@@ -5,7 +5,8 @@ Words (letters and digits, A-Z in lower case) of every template are hashed in ru
 ``GRAM + WINNOW - 1`` words or more shares a kept one. The kept hashes form an inverted index that
 is broadcast: templates are a parameter, of at most ``MAX_TEMPLATE_WORDS`` words. A text looks up
 its own runs, and hits on close diagonals of one template make a candidate. There a banded
-alignment (insertions, deletions and replacements within ``BAND`` words of the diagonal)
+alignment (insertions, deletions and replacements within ``BAND`` words of the diagonal,
+a quarter of the template at most)
 reports how many words of the template are covered, and the span of words of the text.
 
 A match is reported if at least ``coverage`` of the template is covered. Of matches of
@@ -104,10 +105,15 @@ class TemplateIndex:
         self.sizes = sorted({min(GRAM, len(w)) for w in self.words if len(w)})
         self.keys = C.HashIndex(np.array(sorted(postings), np.uint64))
 
+    def _band(self, template: int) -> int:
+        """Short templates have a narrower band, so that neighbours stay apart."""
+        return min(self.band, len(self.words[template]) // 4)
+
     def align(self, template: int, words: np.ndarray, diagonal: int) -> tuple | None:
         """Longest common subsequence within the band: covered words, first and last word."""
         mine = self.words[template]
-        begin, width = diagonal - self.band, 2 * self.band + 1
+        band = self._band(template)
+        begin, width = diagonal - band, 2 * band + 1
         # State: covered words, then the later start; end of the last covered word.
         row = [(0, 0, 0)] * width
         best = (0, 0, 0)
@@ -141,7 +147,7 @@ class TemplateIndex:
         for t, diagonals in hits.items():
             last = None
             for diagonal in sorted(diagonals):
-                if last is not None and diagonal - last <= self.band:
+                if last is not None and diagonal - last <= self._band(t):
                     continue
                 last = diagonal
                 got = self.align(t, words, diagonal)

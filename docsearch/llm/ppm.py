@@ -118,6 +118,8 @@ def _lister(order: int, n_buckets: int, n_salts: int):
         rows = []
         for is_word, listed in ((False, lambda x: _windows(x, order)), (True, _word_hashes)):
             keys, n = _count(values, learn, listed)
+            if not len(keys):
+                continue
             bucket = _bucket_of(keys, is_word, n_buckets)
             by = np.argsort(bucket, kind="stable")
             ends = np.searchsorted(bucket[by], np.unique(bucket), side="right")

@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -348,10 +348,18 @@ def strip(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     Texts without such stretches stay as they are, null texts too. A text that
     loses all its words goes. ``n_chars`` follows the text where it is there.
     """
-    changed = cut(docs.withColumn("__text", F.col("text").isNull()), window, verbatim=True)
-    kept = changed.filter("n_removed = 0 or n_removed < n_words").withColumn(
-        "text", F.when(F.col("__text"), F.lit(None)).otherwise(F.col("kept").cast("string")))
-    if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars"))
-                               .otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+    others = [F.col(c) for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*others).alias("doc"), F.col("text").isNull().alias("none"), "text")
+    kept = cut(rows, window, verbatim=True).filter("n_removed = 0 or n_removed < n_words")
+    text = F.when(F.col("none"), F.lit(None)).otherwise(F.col("kept").cast("string"))
+
+    def column(name: str) -> Column:
+        if name == "text":
+            return text.alias(name)
+        value = F.col("doc")[name]
+        if name == "n_chars":
+            value = F.when(F.col("n_removed") == 0, value).otherwise(F.length(text)).cast(
+                docs.schema[name].dataType)
+        return value.alias(name)
+
+    return kept.select(*map(column, docs.columns))
