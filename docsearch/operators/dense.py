@@ -27,8 +27,6 @@ QUERIES_IN_MEMORY = 4_096
 # Largest number of vectors, and of queries, that meet in one cell.
 CELL_VECTORS = 50_000
 CELL_QUERIES = 4_096
-# Points used per cluster when the cluster centres are trained.
-TRAINING_POINTS_PER_CLUSTER = 256
 
 
 # --- encoding -----------------------------------------------------------------
@@ -146,18 +144,12 @@ def score_dense(vectors: DataFrame, queries: DataFrame, n_queries: int) -> DataF
 def train_clusters(
     vectors: DataFrame, n_clusters: int = V.IVF_CLUSTERS, seed: int = 0
 ) -> KMeansModel | None:
-    """Cluster centres of the vectors; none for a small table, which stays flat.
-
-    Centres are trained on a bounded share of a large table. Every vector is
-    assigned to a cluster and stays searchable.
-    """
+    """Cluster centres, trained on all vectors; none for a table of fewer than twice
+    as many rows, which stays flat (``DenseIndex.clustered`` tells)."""
     n = vectors.count()
     if n < 2 * n_clusters:
         return None
     points = vectors.select(array_to_vector("embedding").alias("features"))
-    bound = TRAINING_POINTS_PER_CLUSTER * n_clusters
-    if n > bound:
-        points = points.sample(fraction=bound / n, seed=seed)
     return KMeans(k=n_clusters, seed=seed, featuresCol="features").fit(points)
 
 

@@ -12,13 +12,15 @@ def fusion_join(sparse: DataFrame, dense: DataFrame) -> DataFrame:
     """Align two ranked lists on (query, document).
 
     Both lists hold ``query_id, doc_id, batch_id, score, position``. A missing
-    side is null. Written as a union and one aggregation: one shuffle, with
-    partial sums before it.
+    side is null. ``batch_id`` is that of the sparse row where there is one, for
+    its document is then shown; otherwise that of the dense row. Written as a
+    union and one aggregation: one shuffle, with partial sums before it.
     """
     def side(hits: DataFrame, name: str, other: str) -> DataFrame:
         nothing = F.lit(None)
         return hits.select(
-            "query_id", "doc_id", "batch_id",
+            "query_id", "doc_id",
+            F.col("batch_id").alias(f"{name}_batch"), nothing.cast("bigint").alias(f"{other}_batch"),
             F.col("score").alias(f"{name}_score"),
             F.col("position").cast("int").alias(f"{name}_rank"),
             nothing.cast("double").alias(f"{other}_score"),
@@ -27,7 +29,9 @@ def fusion_join(sparse: DataFrame, dense: DataFrame) -> DataFrame:
 
     both = side(sparse, "sparse", "dense").unionByName(side(dense, "dense", "sparse"))
     return both.groupBy("query_id", "doc_id").agg(
-        F.min_by("batch_id", F.coalesce("sparse_rank", "dense_rank")).alias("batch_id"),
+        F.coalesce(
+            F.max_by("sparse_batch", "sparse_rank"), F.max_by("dense_batch", "dense_rank")
+        ).alias("batch_id"),
         F.min("sparse_score").alias("sparse_score"),
         F.max("sparse_rank").alias("sparse_rank"),
         F.min("dense_score").alias("dense_score"),

@@ -42,6 +42,11 @@ class DenseIndex:
     centres: np.ndarray | None = None
     doc_buckets: int | None = None
 
+    @property
+    def clustered(self) -> bool:
+        """Whether the vectors are clustered; only then a search can probe."""
+        return self.centres is not None
+
 
 def doc_bucket(doc_id: Column | str, n_buckets: int) -> Column:
     """Storage bucket of a document."""
@@ -109,9 +114,10 @@ def build_dense_index(
     """Index given vectors (``doc_id, embedding``) of the documents.
 
     With ``n_clusters`` the vectors are clustered; a table of fewer than twice
-    as many rows stays flat.
+    as many rows stays flat. Documents without a vector are not found by vector.
     """
-    unit = with_batch(vectors).withColumn("embedding", normalise("embedding"))
+    unit = with_batch(vectors).filter("embedding is not null").withColumn(
+        "embedding", normalise("embedding"))
     unit = written(unit.select("doc_id", "batch_id", "embedding"), "vectors")
     shape = unit.agg(
         F.count("*").alias("n"), F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("d")

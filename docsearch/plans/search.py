@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsearch import fixed_values as V
@@ -66,19 +66,41 @@ def search_requests(requests: DataFrame) -> DataFrame:
     """Queries from JSON requests (columns ``query_id, request``).
 
     Dates are ISO strings; a missing threshold or limit gets its default. A
-    malformed date makes the range unusable, so the request is dropped.
+    malformed date makes the range unusable: such a request is left out here
+    and listed by ``rejected_requests``.
     """
+    dates = _dated_requests(requests)
+    queries = dates.filter(F.size("errors") == 0).withColumns(
+        {"date_from": F.col("_from"), "date_to": F.col("_to")})
+    return filters.with_defaults(
+        validate.distinct_filters(queries.drop("_from", "_to", "errors")))
+
+
+def rejected_requests(requests: DataFrame) -> DataFrame:
+    """``query_id, errors`` of the requests that can't become queries."""
+    return _dated_requests(requests).filter(F.size("errors") > 0).select("query_id", "errors")
+
+
+def rejected_queries(queries: DataFrame) -> DataFrame:
+    """``query_id, errors`` of the queries that a search leaves unanswered."""
+    return validate.validate_queries(queries).filter(F.size("errors") > 0).select(
+        "query_id", "errors")
+
+
+def _dated_requests(requests: DataFrame) -> DataFrame:
     parsed = requests.select("query_id", F.from_json("request", REQUEST).alias("r")).select(
         "query_id", "r.*"
     )
     dates = parsed.withColumns({
         "_from": X.parse_iso_date("date_from"), "_to": X.parse_iso_date("date_to"),
     })
-    readable = dates.filter(
-        (F.coalesce("date_from", F.lit("")) == "") | F.col("_from").isNotNull()
-    ).filter((F.coalesce("date_to", F.lit("")) == "") | F.col("_to").isNotNull())
-    queries = readable.withColumns({"date_from": F.col("_from"), "date_to": F.col("_to")})
-    return filters.with_defaults(validate.distinct_filters(queries.drop("_from", "_to")))
+
+    def unreadable(name: str) -> Column:
+        return (F.coalesce(f"date_{name}", F.lit("")) != "") & F.col(f"_{name}").isNull()
+
+    return dates.withColumn("errors", F.array_compact(F.array(
+        F.when(unreadable("from"), F.lit("unreadable start date")),
+        F.when(unreadable("to"), F.lit("unreadable end date")))))
 
 
 # --- candidates ---------------------------------------------------------------
@@ -110,7 +132,7 @@ def _zero_scores(
         filler = F.array(*[
             F.struct(F.lit(d).alias("doc_id"), F.lit(b).cast("bigint").alias("batch_id"))
             for d, b in ids
-        ])
+        ]).cast("array<struct<doc_id: string, batch_id: bigint>>")
         return zero.select("query_id", F.inline(filler))
     found = None
     for q in zero.select("query_id", *filters.QUERY_FILTERS).collect():
@@ -186,15 +208,18 @@ def dense_hits(
 ) -> DataFrame:
     """First ``factor * max_results`` documents of each query by inner product.
 
-    ``queries`` hold an ``embedding``. With ``n_probe`` and a clustered index
-    only the nearest clusters are searched; otherwise the search is exact.
+    ``queries`` hold an ``embedding``; those with a null one find nothing here.
+    With ``n_probe`` only the nearest clusters are searched, which needs a
+    clustered index; otherwise the search is exact.
     """
-    unit = queries.select(
+    if n_probe is not None and not index.clustered:
+        raise ValueError("n_probe needs a clustered index; this one is flat")
+    unit = queries.filter("embedding is not null").select(
         "query_id", normalise("embedding").alias("embedding"),
         (F.col("similarity_threshold") * threshold_share).alias("similarity_threshold"),
         (F.col("max_results") * factor).alias("k"),
     )
-    if n_probe is not None and index.centres is not None:
+    if n_probe is not None:
         scored = dense.score_ivf(index.vectors, unit, index.centres, n_probe, bounds.n)
     else:
         scored = dense.score_dense(index.vectors, unit, bounds.n)
@@ -296,11 +321,24 @@ def search_sparse(
     return present(found, queries, bounds, "tfidf")
 
 
+def with_vectors(queries: DataFrame, make_encoder: Callable[[], Callable] | None) -> DataFrame:
+    """Queries with an ``embedding``: encoded here if they have none, else as they come.
+
+    A query whose vector is null is kept, and finds nothing by vector.
+    """
+    if "embedding" in queries.columns:
+        return queries
+    if make_encoder is None:
+        raise ValueError("queries have no embedding and no encoder is given")
+    return written(dense.embed_queries(queries, make_encoder), "query_vectors")
+
+
 def search_dense(
-    index: DenseIndex, queries: DataFrame, n_probe: int | None = None
+    index: DenseIndex, queries: DataFrame, n_probe: int | None = None,
+    make_encoder: Callable[[], Callable] | None = None,
 ) -> DataFrame:
-    """Vector search; ``queries`` hold an ``embedding``."""
-    queries = validate.accepted_queries(queries)
+    """Vector search; ``queries`` hold an ``embedding``, or ``make_encoder`` makes it."""
+    queries = with_vectors(validate.accepted_queries(queries), make_encoder)
     bounds = query_bounds(queries)
     hits = dense_hits(index, queries, bounds, n_probe=n_probe)
     found = hydrate_documents(hits, index, queries, bounds)
@@ -315,10 +353,14 @@ def search_hybrid(
     sparse_weight: float = V.SPARSE_WEIGHT,
     dense_weight: float = V.DENSE_WEIGHT,
     n_probe: int | None = None,
+    make_encoder: Callable[[], Callable] | None = None,
 ) -> DataFrame:
     """Fused search. A document found by the keyword side shows its cleaned
-    text, any other its original text."""
+    text, any other its original text. A query without a vector is answered
+    from the keyword side."""
     queries = validate.accepted_queries(queries)
+    if dense_index is not None:
+        queries = with_vectors(queries, make_encoder)
     bounds = query_bounds(queries)
     hits = hybrid_hits(
         sparse_index, dense_index, queries, bounds, method, sparse_weight, dense_weight, n_probe

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,13 +16,20 @@ BROADCAST_ROWS = 500_000
 def work_root(spark: SparkSession) -> str:
     """Folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
 
-    Only where the session names none (a local run), a temporary folder is made
-    and remembered in the session.
+    Where the session names none, the folder set by ``setCheckpointDir`` is
+    taken. Only in a local run without either, a temporary folder is made and
+    remembered in the session; on a cluster that is an error, for executors do
+    not see each other's disks.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = spark.sparkContext.getCheckpointDir()
     if not root:
         root = spark.conf.get("docsearch.work.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a shared folder (master {master})")
         root = tempfile.mkdtemp(prefix="docsearch-")
         spark.conf.set("docsearch.work.dir", root)
     return root.rstrip("/")

@@ -236,6 +236,8 @@ def document_types(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     listed = spark.createDataFrame(list(enumerate(V.DOC_TYPES)), "position int, doc_type string")
     counts = docs.groupBy("doc_type").agg(F.count("*").alias("n_docs"))
-    return F.broadcast(listed).join(counts, "doc_type", "left").select(
+    # At most one row for each listed type is left on the counted side.
+    counts = counts.filter(F.col("doc_type").isin(*V.DOC_TYPES))
+    return listed.join(F.broadcast(counts), "doc_type", "left").select(
         "position", "doc_type", F.coalesce("n_docs", F.lit(0)).alias("n_docs")
     )

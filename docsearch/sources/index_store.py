@@ -8,13 +8,18 @@ Layout of the sparse part::
     versions/<n>/postings/term_bucket=..
     versions/<n>/meta                 written last: makes the version visible
 
-A batch is written to its own folder with overwrite, so a repeated attempt
-leaves the same rows. Large tables get more buckets; a search opens only the
+The store numbers its batches. A batch may come with a key of its source, as
+the epoch of a stream; the same key gets the same number again, so a repeated
+attempt overwrites its own rows and no others. ``batches`` holds the keys, and
+``rejects/batch_id=..`` the rows of a batch that were refused, with reasons. A
+store has one writer at a time. Large tables get more buckets; a search opens only the
 buckets it needs.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -38,6 +43,7 @@ _DENSE_META = (
     "version int, n_vectors bigint, dimension int, doc_buckets int, "
     "centres array<array<double>>"
 )
+_BATCHES = "batch_id bigint, key string"
 _FREQ = "term string, df bigint, ctf bigint, batch_id bigint"
 _VOCAB = "term string, df bigint, ctf bigint, idf double"
 _POSTINGS = (
@@ -59,11 +65,12 @@ def _latest(spark: SparkSession, root: str, schema: str):
         return None
 
 
-def _write_bucketed(df: DataFrame, path: str, bucket: str, *order: str) -> None:
+def _write_bucketed(df: DataFrame, path: str, bucket: str | tuple, *order: str) -> None:
     """One folder per bucket. A bucket that is too large for one task is split."""
+    bucket = (bucket,) if isinstance(bucket, str) else bucket
     (
-        df.hint("rebalance", bucket).sortWithinPartitions(bucket, *order)
-        .write.mode("overwrite").partitionBy(bucket).parquet(path)
+        df.hint("rebalance", *bucket).sortWithinPartitions(*bucket, *order)
+        .write.mode("overwrite").partitionBy(*bucket).parquet(path)
     )
 
 
@@ -88,14 +95,64 @@ class SparseStore:
         self.term_buckets, self.doc_buckets = term_buckets, doc_buckets
         self.replace = replace
 
-    def append(self, docs: DataFrame, batch_id: int) -> None:
-        """Clean, tokenise and store one batch, with its term statistics."""
+    def batch_number(self, key: str | None = None, batch_id: int | None = None) -> int:
+        """The number of a batch: that of its key, if the key was seen, or a new one.
+
+        A number that is asked for and belongs to another key is an error.
+        """
+        try:
+            held = self.spark.read.schema(_BATCHES).json(f"{self.root}/batches")
+            known = {r["batch_id"]: r["key"] for r in held.collect()}
+        except AnalysisException:
+            known = {}
+        if batch_id is not None:
+            key = key if key is not None else f"batch {batch_id}"
+            if known.get(batch_id, key) != key:
+                raise ValueError(f"batch {batch_id} is taken by {known[batch_id]!r}")
+        elif key is not None and key in known.values():
+            return max(b for b, k in known.items() if k == key)
+        else:
+            batch_id = max(known, default=-1) + 1
+            key = key if key is not None else f"batch {batch_id}"
+        if batch_id not in known:
+            self.spark.createDataFrame([(batch_id, key)], _BATCHES).coalesce(1).write.mode(
+                "append").json(f"{self.root}/batches")
+        return batch_id
+
+    def append(self, docs: DataFrame, batch_id: int | None = None, key: str | None = None) -> int:
+        """Clean, tokenise and store one batch, with its term statistics.
+
+        Returns the number of the batch. A batch that comes again under the same
+        key or number replaces its own rows.
+        """
+        batch_id = self.batch_number(key, batch_id)
         rows = I.tokenised_documents(docs.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
                                      self.params)
         self._write_docs(rows, batch_id)
         stored = self._docs().filter(F.col("batch_id") == batch_id)
         freq = sparse.term_statistics(stored, self.params.ngram_range)
         freq.write.mode("overwrite").parquet(f"{self.root}/freq/batch_id={batch_id}")
+        return batch_id
+
+    def write_rejects(self, rejects: DataFrame, batch_id: int) -> None:
+        """Keep the refused rows of a batch with their ``errors``."""
+        rejects.write.mode("overwrite").parquet(f"{self.root}/rejects/batch_id={batch_id}")
+
+    def rejects(self) -> DataFrame | None:
+        """All refused rows, or none when there are none yet."""
+        try:
+            return self.spark.read.parquet(f"{self.root}/rejects")
+        except AnalysisException:
+            return None
+
+    def is_current(self) -> bool:
+        """Whether all stored batches are searchable."""
+        try:
+            last = self._docs().agg(F.max("batch_id")).first()[0]
+        except AnalysisException:
+            return True
+        meta = _latest(self.spark, self.root, _SPARSE_META)
+        return last is None or (meta is not None and meta["last_batch"] >= last)
 
     def refresh(self) -> I.SparseIndex:
         """Make the stored documents searchable: new vocabulary and weights.
@@ -118,13 +175,27 @@ class SparseStore:
         return self._write_version(index, last)
 
     def save(self, index: I.SparseIndex) -> I.SparseIndex:
-        """Store an index that was built in one go."""
-        rows = index.docs.drop("doc_bucket")
+        """Store an index that was built in one go, in place of what the store held.
+
+        Every batch keeps its number, so the postings still find their documents.
+        """
+        rows = I.with_batch(index.docs.drop("doc_bucket"))
         for field in _STORED_DOCS.fields:
             if field.name not in (*rows.columns, "doc_bucket"):
                 rows = rows.withColumn(field.name, F.lit(None).cast(field.dataType))
-        self._write_docs(rows, 0)
-        return self._write_version(index, 0)
+        # The index may be one of this store, whose files are about to be replaced.
+        rows = written(rows, "docs")
+        postings, vocab = written(index.postings, "postings"), written(index.vocab, "vocab")
+        index = replace(index, docs=rows, postings=postings, vocab=vocab)
+        last = rows.agg(F.max("batch_id")).first()[0] or 0
+        bucketed = rows.withColumn("doc_bucket", I.doc_bucket("doc_id", self.doc_buckets))
+        _write_bucketed(bucketed, f"{self.root}/docs", ("batch_id", "doc_bucket"), "doc_id")
+        freq = sparse.term_statistics(rows, self.params.ngram_range)
+        freq.write.mode("overwrite").parquet(f"{self.root}/freq")
+        batches = rows.select("batch_id").distinct().select(
+            "batch_id", F.concat(F.lit("saved "), F.col("batch_id").cast("string")).alias("key"))
+        batches.write.mode("overwrite").json(f"{self.root}/batches")
+        return self._write_version(index, last)
 
     def load(self) -> I.SparseIndex | None:
         """The newest complete version, or none when there is none yet."""
