@@ -29,6 +29,22 @@ def fold(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+#: Rows of an Arrow batch of texts.
+BATCH_ROWS = 1_000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, with Arrow batches of its session limited to a size that suits texts.
+
+    The usual 10,000 rows of text take much memory on both sides of a Python worker.
+    """
+    conf = docs.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH_CONF)) <= BATCH_ROWS:
+        conf.set(_BATCH_CONF, str(BATCH_ROWS))
+    return docs
+
+
 def text_bytes() -> Column:
     """The text as UTF-8, null as empty."""
     return F.coalesce(F.col("text"), F.lit("")).cast("binary")
@@ -166,14 +182,14 @@ def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES,
     bucketed by chunk, so that ``per_chunk`` moves only what it adds to the text.
     ``row`` is a number of its own for every row, repeated rows included.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs).sparkSession
     schema = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("row", T.LongType()),
                            *docs.schema.fields])
     out = docs.mapInArrow(
         _chunked(chunk_bytes, docs.columns.index("text"), schema.names, rewrite), schema)
     name = f"chunks_{uuid.uuid4().hex}"
     (out.write.bucketBy(2 * parallelism(spark), "chunk").sortBy("chunk")
-     .option("path", new_folder(spark, "chunks")).saveAsTable(name))
+     .option("compression", "zstd").option("path", new_folder(spark, "chunks")).saveAsTable(name))
     return spark.table(name)
 
 

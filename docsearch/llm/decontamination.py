@@ -218,7 +218,7 @@ class ItemIndex:
 
 def _indexes(items: DataFrame, threshold: float, overlap: float) -> Iterator:
     """Broadcast indexes of the groups of items."""
-    spark = items.sparkSession
+    spark = C.small_batches(items).sparkSession
     words = C.written(items.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
         _item_words, "word long, length long").groupBy("word").agg(
         F.count("*").alias("df"), F.sum("length").alias("length")), "item_words")

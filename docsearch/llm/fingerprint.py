@@ -100,7 +100,7 @@ def _fingerprinter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``fingerprint`` (hex) of every row."""
     schema = T.StructType([docs.schema["doc_id"], T.StructField("fingerprint", T.StringType())])
-    return docs.select("doc_id", C.text_bytes().alias("text")).mapInArrow(_fingerprinter, schema)
+    return C.small_batches(docs).select("doc_id", C.text_bytes().alias("text")).mapInArrow(_fingerprinter, schema)
 
 
 def within_radius(prints: DataFrame, wanted: Column, radius: int = RADIUS) -> DataFrame:
@@ -176,7 +176,7 @@ def _editor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def edited(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``,
     ``near_edited`` and ``near_next`` for every row."""
-    spark = docs.sparkSession
+    spark = C.small_batches(docs).sparkSession
     rows = docs.select("doc_id", "text")
     parts = C.parallelism(spark)
     shares = [i / (parts * _RANGES) for i in range(1, parts * _RANGES)]

@@ -156,7 +156,7 @@ class Decoder:
 def fit(docs: DataFrame, learn: Column | None = None,
         max_languages: int = MAX_LANGUAGES) -> Decoder | None:
     """Decoder from the rows with a lang and a text for which ``learn`` holds."""
-    rows = docs.filter(F.lit(True) if learn is None else learn).filter(
+    rows = C.small_batches(docs).filter(F.lit(True) if learn is None else learn).filter(
         "lang is not null and text is not null")
     counts = C.written(rows.select("text", "lang").mapInArrow(
         _counter, "lang string, bucket long, n double").groupBy("lang", "bucket").agg(
@@ -192,7 +192,7 @@ def _predictor(decoder, at: int):
 
 def predict(docs: DataFrame, decoder: Decoder | None) -> DataFrame:
     """``doc_id``, ``lang_pred``, ``score`` and ``ambiguous`` from the text alone."""
-    rows = docs.select("doc_id", "text")
+    rows = C.small_batches(docs).select("doc_id", "text")
     if decoder is None:
         return rows.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"),
                            F.lit(False).alias("ambiguous"))

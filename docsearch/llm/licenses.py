@@ -198,4 +198,4 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, band: int = B
         docs.schema["doc_id"], T.StructField("license", T.StringType()),
         T.StructField("covered", T.LongType()), T.StructField("coverage", T.DoubleType()),
         T.StructField("first_word", T.LongType()), T.StructField("end_word", T.LongType())])
-    return docs.select("doc_id", C.text_bytes().alias("text")).mapInArrow(_scanner(index), schema)
+    return C.small_batches(docs).select("doc_id", C.text_bytes().alias("text")).mapInArrow(_scanner(index), schema)

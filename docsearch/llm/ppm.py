@@ -20,7 +20,7 @@ bytes after any context sum to one.
 ``adaptive_score`` learns from nothing but the text itself, byte by byte.
 
 ``base`` is a unigram model of words with add-one smoothing, from the same pass.
-Words are told apart by 64-bit hashes.
+Words are told apart by 64-bit hashes. Code lengths of windows travel as 32-bit numbers.
 
 Defined results: a null or blank text is its end symbol alone. With nothing to learn
 from, every byte costs log10(256). Repeated rows count and are scored each. An
@@ -43,7 +43,7 @@ from docsearch.llm import ppm_tables as P
 ORDER = 5
 BASE = 3
 #: Bytes of text of which windows are listed together; more text has fewer for each byte.
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
 #: Chunks of which one task sums the counts of a bucket.
 FAN = 256
 #: Entries that a bucket gets from one chunk in a thousand bytes, about, for choosing their number.
@@ -68,6 +68,17 @@ def unpack(packed: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(packed, np.uint64), dtype=np.uint64)
 
 
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Whole numbers in four bytes each, or in eight where one needs them."""
+    small = len(counts) == 0 or counts.max() < 1 << 32
+    return counts.astype(np.uint32 if small else np.uint64).tobytes()
+
+
+def unpack_counts(packed: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(packed, np.uint64 if n and len(packed) // n == 8 else np.uint32).astype(
+        np.float64)
+
+
 def _windows(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     """Windows of all bytes, contexts before a text filled with end symbols; text of each."""
     lengths = np.array([len(x) + order for x in texts], np.int64)
@@ -102,6 +113,8 @@ def _count(texts: list[bytes], learn: np.ndarray, listed) -> tuple[np.ndarray, n
         for lo, hi in C.text_blocks(chosen):
             keys, n = np.unique(listed(chosen[lo:hi])[0], return_counts=True)
             parts.append((keys, n * float(wanted)))
+            if len(parts) > 8:
+                parts = [_merge(parts)]
     return _merge(parts)
 
 
@@ -124,7 +137,7 @@ def _lister(order: int, n_buckets: int, n_salts: int):
             by = np.argsort(bucket, kind="stable")
             ends = np.searchsorted(bucket[by], np.unique(bucket), side="right")
             for b, at in zip(np.unique(bucket).tolist(), np.split(by, ends[:-1]), strict=True):
-                rows.append((b, salt, chunk, pack(keys[at]), n[at].tobytes()))
+                rows.append((b, salt, chunk, pack(keys[at]), pack_counts(n[at])))
         return _packed(rows)
     return run
 
@@ -136,15 +149,20 @@ def _packed(rows: list[tuple]) -> pa.Table:
                     names=list(names))
 
 
-def _parts(table: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
-    return [(unpack(k), np.frombuffer(v, np.float64)) for k, v in zip(
-        table["keys"].to_pylist(), table["values"].to_pylist(), strict=True)]
+def _parts(table: pa.Table, costs: bool = False) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Keys and values of each row: counts, or the code lengths of windows."""
+    out = []
+    for packed, values in zip(table["keys"].to_pylist(), table["values"].to_pylist(), strict=True):
+        keys = unpack(packed)
+        out.append((keys, np.frombuffer(values, np.float32).astype(np.float64) if costs
+                    else unpack_counts(values, len(keys))))
+    return out
 
 
 def _summer(table: pa.Table) -> pa.Table:
     keys, n = _merge(_parts(table))
     return _packed([(table["bucket"][0].as_py(), table["salt"][0].as_py(), None,
-                     pack(keys), n.tobytes())])
+                     pack(keys), pack_counts(n))])
 
 
 def _roots_lister(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,15 +185,19 @@ def _valuer(order: int, n_buckets: int, roots):
         bucket = table["bucket"][0].as_py()
         keys, values = _merge(_parts(table))
         if bucket < n_buckets:
-            values = P.code_lengths(keys, values, order, roots.value)
-        return _packed([(bucket, None, None, pack(keys), values.tobytes())])
+            cost = P.code_lengths(keys, values, order, roots.value).astype(np.float32)
+            return _packed([(bucket, None, None, pack(keys), cost.tobytes())])
+        return _packed([(bucket, None, None, pack(keys), pack_counts(values))])
     return run
 
 
 def _answerer(asked: pa.Table, known: pa.Table) -> pa.Table:
     """For each chunk that asked a bucket, the values of its keys."""
     rows = []
-    for keys, values in _parts(known):
+    for packed_keys, packed_values in zip(known["keys"].to_pylist(), known["values"].to_pylist(),
+                                          strict=True):
+        keys = unpack(packed_keys)
+        values = np.frombuffer(packed_values, np.uint8).reshape(len(keys), -1)
         for bucket, chunk, packed in zip(*(asked[c].to_pylist() for c in (
                 "bucket", "chunk", "keys")), strict=True):
             found = values[np.searchsorted(keys, unpack(packed))]
@@ -190,7 +212,7 @@ def _scorer(order: int, n_buckets: int, totals: tuple[float, float, float]):
         tables = []
         is_word = known["bucket"].to_numpy() >= n_buckets
         for flag in (False, True):
-            parts = _parts(known.filter(pa.array(is_word == flag)))
+            parts = _parts(known.filter(pa.array(is_word == flag)), costs=not flag)
             keys = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint64)
             values = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0)
             tables.append((C.HashIndex(keys), np.append(values, 0.0)))
@@ -245,7 +267,7 @@ def score(docs: DataFrame, learn: Column | None = None, order: int = ORDER,
         tails["tail"].to_numpy(np.int64).view(np.uint64), tails["n"].to_numpy(float)))
     values = C.written(summed.groupBy("bucket").applyInArrow(
         _valuer(order, n_buckets, roots), _PACKED), "values")
-    counted = values.filter(F.col("bucket") >= n_buckets).select("values").mapInArrow(
+    counted = values.filter(F.col("bucket") >= n_buckets).select("keys", "values").mapInArrow(
         _totals, "total double, kinds double").agg(F.sum("total"), F.sum("kinds")).first()
     learned = float(size["learned"] or 0)
     totals = (counted[0] or 0.0) + learned, (counted[1] or 0.0) + (learned > 0), learned
@@ -264,7 +286,7 @@ def score(docs: DataFrame, learn: Column | None = None, order: int = ORDER,
 
 def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts = [np.frombuffer(v, np.float64) for v in batch.column(0).to_pylist()]
+        counts = [v for _, v in _parts(pa.table(batch))]
         yield pa.RecordBatch.from_arrays(
             [pa.array([float(c.sum()) for c in counts]),
              pa.array([float((c > 0).sum()) for c in counts])], names=["total", "kinds"])

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsearch.llm.common import binary_values, text_bytes, written
+from docsearch.llm.common import binary_values, small_batches, text_bytes, written
 from docsearch.llm.components import connected_components
 
 SHINGLE = 3
@@ -76,7 +76,7 @@ def _fingerprinter(shingle: int, at: int):
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id`` (and ``row``, if given) and ``fingerprint`` as a long, for every row."""
     keys = [c for c in ("doc_id", "row") if c in docs.columns]
-    wanted = docs.select(*keys, text_bytes().alias("text"))
+    wanted = small_batches(docs).select(*keys, text_bytes().alias("text"))
     schema = T.StructType([*wanted.drop("text").schema.fields,
                            T.StructField("fingerprint", T.LongType())])
     return wanted.mapInArrow(_fingerprinter(shingle, len(keys)), schema)

@@ -242,7 +242,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None,
 
     Those for which ``calibrate`` holds too fit the logistic curve, the others the models.
     """
-    spark = docs.sparkSession
+    spark = C.small_batches(docs).sparkSession
     sample, sizes = _sample(labels, F.lit(True) if learn is None else learn, max_docs)
     if len(sizes) < 2:
         return Classifier(None, np.zeros(5), float(1 in sizes))
@@ -285,7 +285,7 @@ def score(docs: DataFrame, classifier: Classifier) -> DataFrame:
         return docs.withColumns({
             "__score": F.lit(classifier.constant), "__log_ratio": F.lit(0.0),
             "__n_words": F.lit(None).cast("long")})
-    wanted = docs.withColumn("__bytes", C.text_bytes())
+    wanted = C.small_batches(docs).withColumn("__bytes", C.text_bytes())
     schema = T.StructType([*docs.schema.fields, *extra])
     model = docs.sparkSession.sparkContext.broadcast(classifier.model)
     return wanted.mapInArrow(_scorer(model, classifier.beta, len(docs.columns)), schema)
