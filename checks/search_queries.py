@@ -15,6 +15,9 @@ from checks.registry import query
 from docsearch import fixed_values as V
 from docsearch.operators import filters, sparse, stats
 from docsearch.plans import search as P
+from docsearch.runtime import new_folder
+from docsearch.sources.index_store import SparseStore, load_hybrid, save_hybrid
+from docsearch.streaming import ingest
 
 
 def _rows(results):
@@ -173,6 +176,49 @@ def search_hybrid(spark, sf_dir):
     ))
 
 
+def _two_batches(spark, sf_dir):
+    """A store that holds the documents in two batches, and its index."""
+    docs = T.documents(spark, sf_dir)
+    first = F.col("doc_id").cast("long") % 3 != 0
+    store = SparseStore(spark, new_folder(spark, "two"), T.PARAMS)
+    store.append(docs.filter(first))
+    store.append(docs.filter(~first))
+    return store.refresh()
+
+
+@query("search_reloaded_batches", sql("sparse_top", f"SELECT {RESULT} FROM results", _SPARSE))
+def search_reloaded_batches(spark, sf_dir):
+    """An index of two batches, saved and loaded, answers as one that was built at once."""
+    root = new_folder(spark, "saved")
+    save_hybrid(spark, root, _two_batches(spark, sf_dir), None)
+    index, _ = load_hybrid(spark, root)
+    return _rows(P.search_sparse(index, T.benchmark_queries(spark, sf_dir)))
+
+
+@query("search_streamed_onto_bulk", sql("sparse_top", f"SELECT {RESULT} FROM results", _SPARSE))
+def search_streamed_onto_bulk(spark, sf_dir):
+    """Part of the documents is loaded, the rest streamed; the last batches are searchable too."""
+    docs, arriving = T.documents(spark, sf_dir), new_folder(spark, "arriving")
+    first = F.col("doc_id").cast("long") % 3 != 0
+    store = SparseStore(spark, new_folder(spark, "grown"), T.PARAMS)
+    ingest.add_batch(store, docs.filter(first), S.AS_OF_YEAR)
+    docs.filter(~first).repartition(3, "doc_id").write.parquet(arriving)
+    ingest.incremental_ingest(
+        ingest.read_document_stream(spark, arriving, files_per_trigger=1), store,
+        new_folder(spark, "stream-state"), S.AS_OF_YEAR, refresh_every=2)
+    return _rows(P.search_sparse(store.load(), T.benchmark_queries(spark, sf_dir)))
+
+
+@query("search_hybrid_two_batches", sql(("fusion", "cleaned"),
+                                        f"SELECT {_HYBRID_RESULT} FROM results",
+                                        _hybrid(WEIGHTED), queries=VECTOR_QUERIES))
+def search_hybrid_two_batches(spark, sf_dir):
+    """Keywords in two batches, vectors in one."""
+    queries = T.with_vectors(T.benchmark_queries(spark, sf_dir), spark, sf_dir)
+    return _rows(P.search(queries, "hybrid", sparse_index=_two_batches(spark, sf_dir),
+                          dense_index=T.dense_index(spark, sf_dir)))
+
+
 def _one_query(text, threshold, max_results):
     return f"""queries AS (SELECT 'q' AS query_id, '{text}' AS text, NULL::VARCHAR[] AS entity_ids,
     NULL::VARCHAR[] AS doc_types, NULL::TIMESTAMP AS date_from, NULL::TIMESTAMP AS date_to,
@@ -190,7 +236,7 @@ def search_text(spark, sf_dir):
     rank FROM results""", _RANKS, queries=query_table(0.02, 50, filtered=False)))
 def batch_search(spark, sf_dir):
     queries = T.benchmark_queries(spark, sf_dir, 0.02, 50, filtered=False)
-    return P.search_sparse(T.sparse_index(spark, sf_dir), queries).select(
+    return P.search_sparse(T.sparse_index(spark, sf_dir), queries, snippets=False).select(
         "query_id", "doc_id", F.round("score", 6).alias("score"), "rank"
     )
 
@@ -234,7 +280,7 @@ _SWEEP = f"""{_RANKS}, steps AS (SELECT unnest([{", ".join(map(str, V.SWEEP_THRE
     queries=query_table(0.05, S.SWEEP_LIMIT, filtered=False)))
 def threshold_sweep(spark, sf_dir):
     queries = T.benchmark_queries(spark, sf_dir, 0.05, S.SWEEP_LIMIT, filtered=False)
-    results = P.search_sparse(T.sparse_index(spark, sf_dir), queries)
+    results = P.search_sparse(T.sparse_index(spark, sf_dir), queries, snippets=False)
     return stats.threshold_sweep(results, queries).select(
         "query_id", "threshold", "n_results",
         *[F.round(c, 6).alias(c) for c in ("avg_score", "min_score", "max_score")],

@@ -65,8 +65,12 @@ def normalise_vectors(vectors: DataFrame) -> DataFrame:
 
 
 def new_vectors(docs: DataFrame, cached: DataFrame) -> DataFrame:
-    """Documents whose vector is not held yet; only these need encoding."""
-    return docs.join(cached.select("doc_id"), "doc_id", "left_anti")
+    """Documents whose vector is not held yet; only these need encoding.
+
+    Documents with a batch are told apart by id and batch.
+    """
+    keys = [c for c in ("doc_id", "batch_id") if c in docs.columns and c in cached.columns]
+    return docs.join(cached.select(*keys), keys, "left_anti")
 
 
 # --- scoring ---------------------------------------------------------------------

@@ -156,11 +156,14 @@ def check_results(results: DataFrame) -> DataFrame:
     """Drop results with a score outside 0..1, no rank or a blank snippet.
 
     Rounding may lift a cosine just above 1, so the score is clamped first.
-    Ranks are kept as they are, so a dropped row leaves a gap.
+    Ranks are kept as they are, so a dropped row leaves a gap. Results of a
+    search without snippets have none to check.
     """
-    return (
+    sound = (
         results.withColumn("score", F.least("score", F.lit(1.0)))
         .filter(F.col("score") >= 0.0)
         .filter(F.col("rank") > 0)
-        .filter(~X.is_blank("context_snippet"))
     )
+    if "context_snippet" not in results.columns:
+        return sound
+    return sound.filter(~X.is_blank("context_snippet"))

@@ -259,14 +259,15 @@ def hybrid_hits(
 
 
 def hydrate_documents(
-    hits: DataFrame, index: SparseIndex | DenseIndex, queries: DataFrame, bounds: QueryBounds
+    hits: DataFrame, index: SparseIndex | DenseIndex, queries: DataFrame, bounds: QueryBounds,
+    content: bool = True,
 ) -> DataFrame:
     """Bring in the documents of the hits that pass their query's filters.
 
     Runs after the cut, so the small hit list is sent to the document table and
-    not the other way round.
+    not the other way round. Without ``content`` no text is read.
     """
-    docs = index.docs
+    docs = index.docs if content else index.docs.drop("content")
     if index.doc_buckets:
         hits = hits.withColumn("doc_bucket", doc_bucket("doc_id", index.doc_buckets))
     columns = [c for c in (*sparse.DOC_KEY, "doc_bucket", "content", *_ATTRIBUTES)
@@ -278,29 +279,25 @@ def hydrate_documents(
 
 
 def present(
-    hits: DataFrame, queries: DataFrame, bounds: QueryBounds, mode: str,
+    hits: DataFrame, queries: DataFrame, bounds: QueryBounds, mode: str, snippets: bool = True,
 ) -> DataFrame:
     """Result rows of hydrated hits: snippet, matched terms, rank, final cut.
 
     Snippets are made where the document was read, so document text is never
-    shuffled.
+    shuffled. Without ``snippets`` the two columns made from text are left out.
     """
-    terms = queries.select("query_id", X.query_terms("text").alias("_terms"))
-    snippets = (
-        hits.join(broadcast_if(terms, bounds.n), "query_id")
-        .withColumns({
+    shown = ["context_snippet", "matched_terms"] if snippets else []
+    if snippets:
+        terms = queries.select("query_id", X.query_terms("text").alias("_terms"))
+        hits = hits.join(broadcast_if(terms, bounds.n), "query_id").withColumns({
             "context_snippet": X.context_snippet("content", "_terms"),
             "matched_terms": X.matched_terms("content", "_terms"),
         })
-        .drop("content", "_terms", "doc_bucket")
-    )
-    limited = filters.limit_results(validate.check_results(filters.rank_results(snippets)))
+    ranked = filters.rank_results(hits.drop("content", "_terms", "doc_bucket"))
+    limited = filters.limit_results(validate.check_results(ranked))
     attributes = [c for c in _ATTRIBUTES if c in limited.columns]
     return tag_search_mode(
-        limited.select(
-            "query_id", "doc_id", "batch_id", *attributes, "score", "context_snippet",
-            "matched_terms", "rank",
-        ),
+        limited.select("query_id", "doc_id", "batch_id", *attributes, "score", *shown, "rank"),
         mode,
     )
 
@@ -310,15 +307,16 @@ def tag_search_mode(results: DataFrame, mode: str) -> DataFrame:
 
 
 def search_sparse(
-    index: SparseIndex, queries: DataFrame, prefilter: bool = False
+    index: SparseIndex, queries: DataFrame, prefilter: bool = False, snippets: bool = True
 ) -> DataFrame:
     """Keyword search. ``prefilter`` applies the query filters before the cut
-    at ``max_results`` instead of after it."""
+    at ``max_results`` instead of after it. Without ``snippets`` the search ranks
+    documents and reads no text."""
     queries = validate.accepted_queries(queries)
     bounds = query_bounds(queries)
     hits = sparse_hits(index, queries, bounds, prefilter=prefilter)
-    found = hydrate_documents(hits, index, queries, bounds)
-    return present(found, queries, bounds, "tfidf")
+    found = hydrate_documents(hits, index, queries, bounds, content=snippets)
+    return present(found, queries, bounds, "tfidf", snippets)
 
 
 def with_vectors(queries: DataFrame, make_encoder: Callable[[], Callable] | None) -> DataFrame:

@@ -61,12 +61,11 @@ def money(amount: Column) -> Column:
     return F.concat(F.lit("$"), F.format_number(amount, 2))
 
 
-def _document(df: DataFrame, doc_id: Column, lines: list[Column | str], doc_type: str,
+def _document(df: DataFrame, doc_id: Column, lines: list[Column], doc_type: str,
               name: str, date: str, metadata: dict[str, Column]) -> DataFrame:
-    text = [F.lit(line) if isinstance(line, str) else line for line in lines]
     return df.select(
         doc_id.alias("doc_id"),
-        F.concat_ws("\n", *text).alias("content"),
+        F.concat_ws("\n", *lines).alias("content"),
         X.entity_key(name).alias("entity_id"),
         F.lit(doc_type).alias("doc_type"),
         F.col(date).cast("timestamp_ntz").alias("date"),
@@ -76,10 +75,6 @@ def _document(df: DataFrame, doc_id: Column, lines: list[Column | str], doc_type
     )
 
 
-def _line(label: str, value: Column) -> Column:
-    return F.concat(F.lit(f"{label}: "), value)
-
-
 def _day(c: Column | str) -> Column:
     return F.date_format(c, "yyyy-MM-dd")
 
@@ -92,60 +87,50 @@ def _first_word(c: Column) -> Column:
     return F.lower(F.substring_index(c, " ", 1))
 
 
+def _sentence(*parts: Column | str) -> Column:
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts], F.lit("."))
+
+
 def render_invoices(rows: DataFrame, tax_rate: float = 0.085) -> DataFrame:
     """Invoice text from ``key, name, date, amount, item``."""
-    net = F.col("amount")
-    due = F.date_add("date", 30)
+    net, due = F.col("amount"), F.date_add("date", 30)
+    gross = net * (1 + tax_rate)
     return _document(rows, _number("inv_", "key"), [
-        F.concat(F.lit("INVOICE #"), _number("INV-", "key")),
-        _line("From", F.col("name")),
-        _line("Date", _day("date")),
-        _line("Due Date", _day(due)),
-        _line("Description", F.col("item")),
-        _line("Amount", money(net)),
-        _line("Tax", money(net * tax_rate)),
-        _line("Total Amount", money(net * (1 + tax_rate))),
-        "Payment Terms: Net 30 days",
+        _sentence(F.col("name"), " bills ", F.col("item"), " under invoice number ",
+                  _number("N", "key")),
+        _sentence("Net ", money(net), " with tax of ", money(net * tax_rate), " makes a total of ",
+                  money(gross)),
+        _sentence("Issued on ", _day("date"), " and payable until ", _day(due)),
     ], "invoice", "name", "date", {
-        "amount": net * (1 + tax_rate), "tax_rate": F.lit(tax_rate),
+        "amount": gross, "tax_rate": F.lit(tax_rate),
         "due_date": _day(due), "service_category": _first_word(F.col("item")),
     })
 
 
 def render_purchase_orders(rows: DataFrame, shipping_rate: float = 0.05) -> DataFrame:
     """Purchase order text from ``key, name, date, amount, item``."""
-    net = F.col("amount")
-    delivery = F.date_add("date", 14)
+    net, delivery = F.col("amount"), F.date_add("date", 14)
+    gross = net * (1 + shipping_rate)
     return _document(rows, _number("po_", "key"), [
-        F.concat(F.lit("PURCHASE ORDER #"), _number("PO-", "key")),
-        _line("Vendor", F.col("name")),
-        _line("Date", _day("date")),
-        _line("Expected Delivery", _day(delivery)),
-        _line("Items Ordered", F.col("item")),
-        _line("Subtotal", money(net)),
-        _line("Shipping", money(net * shipping_rate)),
-        _line("Total", money(net * (1 + shipping_rate))),
-        "Terms: Payment due within 30 days of delivery",
+        _sentence("Order ", _number("B", "key"), " placed with ", F.col("name"), " on ",
+                  _day("date")),
+        _sentence("Goods: ", F.col("item"), " for ", money(net), ", freight ",
+                  money(net * shipping_rate), ", together ", money(gross)),
+        _sentence("Delivery is expected by ", _day(delivery)),
     ], "purchase_order", "name", "date", {
-        "amount": net * (1 + shipping_rate), "shipping_cost": net * shipping_rate,
+        "amount": gross, "shipping_cost": net * shipping_rate,
         "delivery_date": _day(delivery), "item_category": _first_word(F.col("item")),
     })
 
 
 def render_contracts(rows: DataFrame, months: int = 12) -> DataFrame:
     """Contract text from ``key, name, date, amount, item``; the amount is monthly."""
-    fee = F.col("amount")
-    end = F.date_add("date", months * 30)
+    fee, end = F.col("amount"), F.date_add("date", months * 30)
     return _document(rows, _number("contract_", "key"), [
-        F.concat(F.lit("SERVICE AGREEMENT #"), _number("SA-", "key")),
-        _line("Service Provider", F.col("name")),
-        _line("Contract Date", _day("date")),
-        _line("Effective Period", F.concat(_day("date"), F.lit(" to "), _day(end))),
-        f"Duration: {months} months",
-        _line("Services Description", F.col("item")),
-        _line("Monthly Fee", money(fee)),
-        _line("Total Contract Value", money(fee * months)),
-        "Payment Schedule: Monthly in advance",
+        _sentence("Contract ", _number("C", "key"), " with ", F.col("name"), " covers ",
+                  F.col("item")),
+        _sentence("It runs for ", f"{months} months, from ", _day("date"), " until ", _day(end)),
+        _sentence("Each month costs ", money(fee), ", the whole term ", money(fee * months)),
     ], "contract", "name", "date", {
         "monthly_fee": fee, "duration_months": F.lit(months), "total_value": fee * months,
         "end_date": _day(end), "service_category": _first_word(F.col("item")),
@@ -155,18 +140,13 @@ def render_contracts(rows: DataFrame, months: int = 12) -> DataFrame:
 def render_receipts(rows: DataFrame, tax_rate: float = 0.0875) -> DataFrame:
     """Receipt text from ``key, name, date, amount, item``."""
     net = F.col("amount")
+    gross = net * (1 + tax_rate)
     return _document(rows, _number("receipt_", "key"), [
-        F.concat(F.lit("RECEIPT #"), _number("RCP-", "key")),
-        _line("Merchant", F.col("name")),
-        _line("Date", _day("date")),
-        _line("Time", F.date_format("date", "HH:mm")),
-        _line("Description", F.col("item")),
-        _line("Amount", money(net)),
-        _line("Tax", money(net * tax_rate)),
-        _line("Total", money(net * (1 + tax_rate))),
-        "Payment Method: Corporate Credit Card",
+        _sentence(F.col("name"), " confirms payment ", _number("R", "key"), " for ", F.col("item")),
+        _sentence("Paid on ", _day("date"), " at ", F.date_format("date", "HH:mm"), ": ",
+                  money(gross), ", of which tax ", money(net * tax_rate)),
     ], "receipt", "name", "date", {
-        "amount": net * (1 + tax_rate), "tax_rate": F.lit(tax_rate),
+        "amount": gross, "tax_rate": F.lit(tax_rate),
         "category": F.replace(F.lower("item"), F.lit(" "), F.lit("_")),
     })
 

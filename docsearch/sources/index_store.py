@@ -18,6 +18,7 @@ buckets it needs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsearch.operators import sparse
+from docsearch.operators import dense, sparse
 from docsearch.plans import index as I
 from docsearch.runtime import written
 from docsearch.schema import DOCS, SparseParams
@@ -279,6 +280,30 @@ class DenseStore:
         ).json(f"{base}/meta")
         return self.load()
 
+    def append(self, docs: DataFrame, vectors: Callable[[DataFrame], DataFrame]) -> I.DenseIndex:
+        """Add the documents (with ``batch_id``) that are not held yet.
+
+        ``vectors`` makes ``doc_id, batch_id, embedding`` for the new documents
+        only. Centres are kept; new vectors go to their nearest cluster. The new
+        version holds the old and the new rows.
+        """
+        held = self.load()
+        if held is None:
+            new = written(docs, "new")
+            return self.save(I.build_dense_index(new, vectors(new)))
+        new = written(dense.new_vectors(docs, held.docs.select("doc_id", "batch_id")), "new")
+        added = I.build_dense_index(new, vectors(new))
+        unit = added.vectors
+        if held.clustered:
+            unit = dense.nearest_clusters(unit, held.centres, 1).withColumn(
+                "cluster_id", F.col("clusters")[0]).drop("clusters")
+        both = written(held.docs.drop("doc_bucket").unionByName(
+            new, allowMissingColumns=True), "docs")
+        rows = written(held.vectors.unionByName(unit, allowMissingColumns=True), "vectors")
+        return self.save(replace(
+            held, docs=both, vectors=rows, n_vectors=held.n_vectors + added.n_vectors,
+            dimension=max(held.dimension, added.dimension), doc_buckets=None))
+
     def load(self) -> I.DenseIndex | None:
         meta = _latest(self.spark, self.root, _DENSE_META)
         if meta is None:

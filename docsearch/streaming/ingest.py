@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docsearch.operators import validate
+from docsearch.plans.index import DenseIndex, SparseIndex
 from docsearch.runtime import written
 from docsearch.schema import DOCS
-from docsearch.sources.index_store import SparseStore
+from docsearch.sources.index_store import DenseStore, SparseStore
 
 
 def read_document_stream(
@@ -57,6 +60,24 @@ def add_batch(
     return batch_id
 
 
+def add_documents(
+    sparse_store: SparseStore, dense_store: DenseStore, docs: DataFrame, as_of_year: int,
+    vectors: Callable[[DataFrame], DataFrame], key: str | None = None, limit: int | None = None,
+    strict: bool = False,
+) -> tuple[SparseIndex, DenseIndex]:
+    """Add one batch to both indexes: validated once, cleaned for keywords, as it came for vectors.
+
+    ``vectors`` makes ``doc_id, batch_id, embedding`` of documents; it is asked only for those
+    whose vector is not held. Refused rows are kept as in ``add_batch``.
+    """
+    batch_id = add_batch(sparse_store, docs, as_of_year, key=key, limit=limit, strict=strict)
+    refused = sparse_store.rejects().filter(F.col("batch_id") == batch_id).select("doc_id")
+    valid = docs.join(refused, docs["doc_id"].eqNullSafe(refused["doc_id"]), "left_anti")
+    index = sparse_store.refresh()
+    return index, dense_store.append(
+        valid.withColumn("batch_id", F.lit(batch_id).cast("bigint")), vectors)
+
+
 def incremental_ingest(
     stream: DataFrame, store: SparseStore, checkpoint: str, as_of_year: int,
     refresh_every: int = 1, strict: bool = False, source: str | None = None,

@@ -17,10 +17,14 @@ QUICK = (
     "document_types", "validate_documents", "validate_queries", "normalise_documents",
     "duplicate_ids", "render_documents", "document_frequency", "tfidf_weights", "score_sparse",
     "topk_dense", "fuse_rrf", "topk_hybrid", "search_sparse", "search_hybrid", "threshold_sweep",
-    "rolling_search_time", "latency_summary", "engine_stats", "search_request",
+    "rolling_search_time", "latency_summary", "engine_stats", "search_request", "batch_search",
+    "search_reloaded_batches", "search_streamed_onto_bulk", "search_hybrid_two_batches",
+    "add_documents_hybrid", "ingest_rejects", "incremental_ingest", "save_load_hybrid",
+    "check_results",
 )
 # All of them with DOCSEARCH_ALL=1.
 NAMES = sorted(entry.oracle_sql()) if os.environ.get("DOCSEARCH_ALL") else QUICK
+assert set(QUICK) <= set(entry.oracle_sql())
 
 
 @pytest.fixture(scope="module")

