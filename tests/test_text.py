@@ -92,8 +92,8 @@ def test_snippet_properties(spark, length):
         at = [i for i in range(len(text)) if text.startswith(core, i)]
         assert any(best <= i <= best + len(max(vocabulary, key=len)) + 1 for i in at)
         assert found.startswith("...") == (best > 0)
-        # Words stay whole on both sides.
-        assert all(w in vocabulary for w in core.split())
+        # Words stay whole; only the last may be cut.
+        assert all(w in vocabulary for w in core.split()[:-1])
 
 
 def test_iso_dates(spark):
