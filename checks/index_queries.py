@@ -94,7 +94,7 @@ def score_sparse(spark, sf_dir):
     index, queries = T.sparse_index(spark, sf_dir), T.benchmark_queries(spark, sf_dir)
     weights = sparse.query_weights(queries, index.vocab, index.params, index.vocab_rows)
     bounds = P.query_bounds(queries)
-    scored = sparse.score_sparse(index.postings, weights, bounds.n_terms, index.term_buckets)
+    scored = sparse.score_sparse(index.postings, weights, bounds.n_terms)
     return scored.select("query_id", "doc_id", F.round("score", 6).alias("score"))
 
 

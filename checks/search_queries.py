@@ -83,7 +83,7 @@ def query_filter_join(spark, sf_dir):
     index, queries = T.sparse_index(spark, sf_dir), T.benchmark_queries(spark, sf_dir)
     bounds = P.query_bounds(queries)
     weights = sparse.query_weights(queries, index.vocab, index.params, index.vocab_rows)
-    scored = sparse.score_sparse(index.postings, weights, bounds.n_terms, index.term_buckets)
+    scored = sparse.score_sparse(index.postings, weights, bounds.n_terms)
     attributes = index.docs.select(*sparse.DOC_KEY, "entity_id", "doc_type", "date")
     return filters.query_filter_join(
         scored, queries, attributes, bounds.n, n_hits=bounds.n * index.n_docs

@@ -24,7 +24,6 @@ VOCABULARY_IN_MEMORY = 200_000
 # Scores are rounded so that copies of a document tie whatever the order in
 # which their terms were summed.
 SCORE_DIGITS = 10
-_SALTS = 16
 DOC_KEY = ("doc_id", "batch_id")
 
 
@@ -200,34 +199,24 @@ def query_weights(
     return raw.select("query_id", "term", (F.col("raw") / norm).alias("query_weight"))
 
 
-def term_bucket(term: Column | str, n_buckets: int) -> Column:
-    """Storage bucket of a term."""
-    return F.pmod(F.xxhash64(term), F.lit(n_buckets)).cast("int")
-
-
-def score_sparse(
-    postings: DataFrame, weights: DataFrame, weight_rows: int, term_buckets: int | None = None
-) -> DataFrame:
+def score_sparse(postings: DataFrame, weights: DataFrame, weight_rows: int) -> DataFrame:
     """Cosine of every (query, document) pair that shares a term.
 
-    The query side is broadcast when its bound allows. Otherwise both sides are
-    shuffled on (term, salt), which spreads the postings of a frequent term.
-    ``term_buckets`` names the partitioning of stored postings: only the
-    buckets of the query terms are read.
+    Postings that are stored bucketed by document are summed where they are
+    read, so a cut per query can follow before anything is shuffled. The query
+    side is broadcast, in blocks of queries whose rows keep within the bound.
     """
-    keys = ["term"]
-    if term_buckets:
-        keys.append("term_bucket")
-        weights = weights.withColumn("term_bucket", term_bucket("term", term_buckets))
-    if weight_rows > BROADCAST_ROWS:
-        keys.append("_salt")
-        postings = postings.withColumn("_salt", F.pmod(F.hash("doc_id"), F.lit(_SALTS)))
-        weights = weights.withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
-        )
+    blocks = max(1, -(-weight_rows // BROADCAST_ROWS))
     total = F.sum(F.col("weight") * F.col("query_weight"))
-    return (
-        postings.join(broadcast_if(weights, weight_rows), keys)
-        .groupBy("query_id", *DOC_KEY)
-        .agg(F.least(F.round(total, SCORE_DIGITS), F.lit(1.0)).alias("score"))
-    )
+    scored = None
+    for block in range(blocks):
+        part = weights
+        if blocks > 1:
+            part = weights.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
+        found = (
+            postings.join(F.broadcast(part), "term")
+            .groupBy("query_id", *DOC_KEY)
+            .agg(F.least(F.round(total, SCORE_DIGITS), F.lit(1.0)).alias("score"))
+        )
+        scored = found if scored is None else scored.unionByName(found)
+    return scored

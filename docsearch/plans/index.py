@@ -27,7 +27,6 @@ class SparseIndex:
     n_docs: int
     vocab_rows: int
     params: SparseParams
-    term_buckets: int | None = None
     doc_buckets: int | None = None
 
 

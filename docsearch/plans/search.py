@@ -146,22 +146,14 @@ def _zero_scores(
 
 
 def _postings_of(index: SparseIndex, weights: DataFrame) -> DataFrame:
-    """Stored postings, cut to the buckets and terms of a small query table."""
-    if not index.term_buckets:
-        return index.postings
+    """Postings of the query terms; few terms are pushed to the scan, where
+    postings stand sorted by term."""
     terms = [
         r["term"] for r in weights.select("term").distinct().limit(PUSHED_TERMS + 1).collect()
     ]
     if not terms or len(terms) > PUSHED_TERMS:
         return index.postings
-    spark = index.postings.sparkSession
-    buckets = (
-        spark.createDataFrame([(t,) for t in terms], "term string")
-        .select(sparse.term_bucket("term", index.term_buckets).alias("b")).distinct().collect()
-    )
-    return index.postings.filter(
-        F.col("term_bucket").isin(*[r["b"] for r in buckets]) & F.col("term").isin(*terms)
-    )
+    return index.postings.filter(F.col("term").isin(*terms))
 
 
 def sparse_hits(
@@ -177,9 +169,7 @@ def sparse_hits(
         sparse.query_weights(queries, index.vocab, index.params, index.vocab_rows),
         "query_weights",
     )
-    scored = sparse.score_sparse(
-        _postings_of(index, weights), weights, bounds.n_terms, index.term_buckets
-    )
+    scored = sparse.score_sparse(_postings_of(index, weights), weights, bounds.n_terms)
     if bounds.zero_threshold:
         filler = _zero_scores(index.docs, queries, factor * bounds.max_results, prefilter)
         keys = ["query_id", *sparse.DOC_KEY]

@@ -5,7 +5,7 @@ Layout of the sparse part::
     docs/batch_id=../doc_bucket=..    cleaned documents with tokens
     freq/batch_id=..                  term statistics of each batch
     versions/<n>/vocab
-    versions/<n>/postings/term_bucket=..
+    versions/<n>/postings             bucketed by document, sorted by term
     versions/<n>/meta                 written last: makes the version visible
 
 The store numbers its batches. A batch may come with a key of its source, as
@@ -18,6 +18,7 @@ buckets it needs.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -32,11 +33,11 @@ from docsearch.plans import index as I
 from docsearch.runtime import written
 from docsearch.schema import DOCS, SparseParams
 
-TERM_BUCKETS = 16
+POSTING_BUCKETS = 16
 DOC_BUCKETS = 8
 
 _SPARSE_META = (
-    "version int, n_docs bigint, vocab_rows int, last_batch bigint, term_buckets int, "
+    "version int, n_docs bigint, vocab_rows int, last_batch bigint, posting_buckets int, "
     "doc_buckets int, max_features int, min_df int, max_df double, ngram_low int, "
     "ngram_high int, stop_words array<string>, fallback_analyser boolean"
 )
@@ -47,9 +48,7 @@ _DENSE_META = (
 _BATCHES = "batch_id bigint, key string"
 _FREQ = "term string, df bigint, ctf bigint, batch_id bigint"
 _VOCAB = "term string, df bigint, ctf bigint, idf double"
-_POSTINGS = (
-    "term string, doc_id string, batch_id bigint, tf bigint, weight double, term_bucket int"
-)
+_POSTINGS = "term string, doc_id string, batch_id bigint, tf bigint, weight double"
 _VECTORS = "doc_id string, batch_id bigint, embedding array<float>, cluster_id int"
 _STORED_DOCS = T.StructType([
     *DOCS.fields, T.StructField("tokens", T.ArrayType(T.StringType())),
@@ -66,6 +65,11 @@ def _latest(spark: SparkSession, root: str, schema: str):
         return None
 
 
+def _table_name(base: str) -> str:
+    """Name in the catalog of the postings below a folder."""
+    return f"docsearch_postings_{hashlib.sha256(base.encode()).hexdigest()[:24]}"
+
+
 def _write_bucketed(df: DataFrame, path: str, bucket: str | tuple, *order: str) -> None:
     """One folder per bucket. A bucket that is too large for one task is split."""
     bucket = (bucket,) if isinstance(bucket, str) else bucket
@@ -89,11 +93,11 @@ class SparseStore:
 
     def __init__(
         self, spark: SparkSession, root: str, params: SparseParams = SparseParams(),
-        term_buckets: int = TERM_BUCKETS, doc_buckets: int = DOC_BUCKETS,
+        posting_buckets: int = POSTING_BUCKETS, doc_buckets: int = DOC_BUCKETS,
         replace: bool = False,
     ):
         self.spark, self.root, self.params = spark, root.rstrip("/"), params
-        self.term_buckets, self.doc_buckets = term_buckets, doc_buckets
+        self.posting_buckets, self.doc_buckets = posting_buckets, doc_buckets
         self.replace = replace
 
     def batch_number(self, key: str | None = None, batch_id: int | None = None) -> int:
@@ -210,16 +214,36 @@ class SparseStore:
         return I.SparseIndex(
             docs=latest_rows(docs) if self.replace else docs,
             vocab=read.schema(_VOCAB).parquet(f"{base}/vocab"),
-            postings=read.schema(_POSTINGS).parquet(f"{base}/postings"),
+            postings=self._postings(base, meta["posting_buckets"]),
             n_docs=meta["n_docs"], vocab_rows=meta["vocab_rows"],
             params=SparseParams(
                 meta["max_features"], meta["min_df"], meta["max_df"],
                 (meta["ngram_low"], meta["ngram_high"]),
                 None if stop_words is None else tuple(stop_words), meta["fallback_analyser"],
             ),
-            term_buckets=meta["term_buckets"], doc_buckets=meta["doc_buckets"],
+            doc_buckets=meta["doc_buckets"],
         )
 
+    def _write_postings(self, postings: DataFrame, base: str) -> None:
+        """One bucket holds all postings of its documents, sorted by term, so a
+        search reads the row groups of its terms and sums without a shuffle."""
+        n, columns = self.posting_buckets, [c.split()[0] for c in _POSTINGS.split(", ")]
+        self.spark.sql(f"DROP TABLE IF EXISTS {_table_name(base)}")
+        (
+            postings.select(*columns).repartition(n, "doc_id").sortWithinPartitions("term", "doc_id")
+            .write.mode("overwrite").bucketBy(n, "doc_id").sortBy("term", "doc_id")
+            .option("path", f"{base}/postings").saveAsTable(_table_name(base))
+        )
+
+    def _postings(self, base: str, n_buckets: int) -> DataFrame:
+        """Postings of a version; the session's catalog is told their buckets."""
+        name = _table_name(base)
+        if not self.spark.catalog.tableExists(name):
+            self.spark.sql(
+                f"CREATE TABLE {name} ({_POSTINGS}) USING parquet CLUSTERED BY (doc_id) "
+                f"SORTED BY (term, doc_id) INTO {n_buckets} BUCKETS LOCATION '{base}/postings'")
+        return self.spark.table(name)
+
     def _docs(self) -> DataFrame:
         return self.spark.read.schema(_STORED_DOCS).parquet(f"{self.root}/docs")
 
@@ -234,13 +258,10 @@ class SparseStore:
         version = 1 if previous is None else previous["version"] + 1
         base = f"{self.root}/versions/{version}"
         index.vocab.write.mode("overwrite").parquet(f"{base}/vocab")
-        postings = index.postings.withColumn(
-            "term_bucket", sparse.term_bucket("term", self.term_buckets)
-        )
-        _write_bucketed(postings, f"{base}/postings", "term_bucket", "term", "doc_id")
+        self._write_postings(index.postings, base)
         p = index.params
         row = (
-            version, index.n_docs, index.vocab_rows, last_batch, self.term_buckets,
+            version, index.n_docs, index.vocab_rows, last_batch, self.posting_buckets,
             self.doc_buckets, p.max_features, p.min_df, p.max_df, *p.ngram_range,
             None if p.stop_words is None else list(p.stop_words), p.fallback_analyser,
         )

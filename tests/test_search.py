@@ -11,6 +11,7 @@ from docsearch.functions import text as X
 from docsearch.operators import dense, filters, sparse
 from docsearch.plans import index as I
 from docsearch.plans import search as P
+from docsearch.runtime import written
 from docsearch.schema import SparseParams
 from docsearch.sources import documents as D
 from docsearch.sources.index_store import SparseStore
@@ -98,15 +99,23 @@ def test_weights_equal_brute_force(spark, sf_dir):
     assert max(abs(actual[k] - other[k]) for k in actual) < 1e-12
 
 
-def test_salted_scores_equal_broadcast_scores(spark, sf_dir):
+def test_scores_in_blocks_of_queries_are_equal(spark, sf_dir):
     index, queries = T.sparse_index(spark, sf_dir), T.benchmark_queries(spark, sf_dir)
     weights = sparse.query_weights(queries, index.vocab, index.params, index.vocab_rows)
 
     def scores(rows):
-        scored = sparse.score_sparse(index.postings, weights, rows, index.term_buckets)
+        scored = sparse.score_sparse(index.postings, weights, rows)
         return sorted(tuple(r) for r in scored.collect())
 
-    assert scores(10) == scores(10**9)
+    assert scores(10) == scores(2_000_000)
+
+
+def test_stored_scores_are_summed_without_a_shuffle(spark, sf_dir):
+    index, queries = T.sparse_index(spark, sf_dir), T.benchmark_queries(spark, sf_dir)
+    weights = sparse.query_weights(queries, index.vocab, index.params, index.vocab_rows)
+    scored = sparse.score_sparse(index.postings, written(weights, "weights"), 1000)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Bucketed: true" in plan
 
 
 def test_batch_equals_single_queries_and_two_step_cut(spark, sf_dir):
