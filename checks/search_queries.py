@@ -401,11 +401,14 @@ def dense_index_stats(spark, sf_dir):
     (SELECT CAST(max(len(embedding)) AS INTEGER) FROM embeddings) AS vector_dimension,
     (SELECT count(*) FROM events) AS total_searches,
     (SELECT round(avg(value), 6) FROM events) AS avg_search_time,
+    (SELECT count(*) FROM events WHERE event_type = 'click') AS click_searches,
+    (SELECT count(*) FROM events WHERE event_type = 'view') AS view_searches,
     0.1::DOUBLE AS similarity_threshold, 'weighted_sum' AS fusion_method,
-    0.4::DOUBLE AS tfidf_weight, 0.6::DOUBLE AS transformer_weight"""))
+    0.3::DOUBLE AS tfidf_weight, 0.7::DOUBLE AS transformer_weight"""))
 def engine_stats(spark, sf_dir):
     return stats.engine_stats(
-        _sparse_stats(spark, sf_dir), _dense_stats(spark, sf_dir), T.search_log(spark, sf_dir)
+        _sparse_stats(spark, sf_dir), _dense_stats(spark, sf_dir), T.search_log(spark, sf_dir),
+        sparse_weight=0.3, dense_weight=0.7, modes=("click", "view"),
     ).withColumn("avg_search_time", F.round("avg_search_time", 6))
 
 
@@ -417,6 +420,26 @@ def index_ready(spark, sf_dir):
     return stats.index_ready(_sparse_stats(spark, sf_dir), _dense_stats(spark, sf_dir))
 
 
+@query("sparse_index_only", """SELECT true AS tfidf_available,
+    (SELECT count(*) FROM documents) > 0 AS tfidf_ready, false AS transformer_available,
+    false AS transformer_ready, (SELECT count(*) FROM documents) > 0 AS ready""")
+def sparse_index_only(spark, sf_dir):
+    return stats.index_ready(_sparse_stats(spark, sf_dir), None)
+
+
+@query("logged_searches", sql("sparse_top", """SELECT 'tfidf' AS mode, count(*) * 2 AS searches,
+    (SELECT count(*) FROM results) * 2 AS results_count, true AS timed FROM queries""", _SPARSE))
+def logged_searches(spark, sf_dir):
+    """Two rounds of searches, counted from the log that they write."""
+    log = f"{new_folder(spark, 'log')}/searches"
+    queries = T.benchmark_queries(spark, sf_dir)
+    for _ in range(2):
+        P.logged_search(log, queries, "tfidf", sparse_index=T.sparse_index(spark, sf_dir))
+    return spark.read.parquet(log).groupBy("mode").agg(
+        F.count("*").alias("searches"), F.sum("results_count").alias("results_count"),
+        F.bool_and(F.col("seconds") > 0).alias("timed"))
+
+
 # --- growth -----------------------------------------------------------------------
 
 _GROWTH = f"""numbered AS (SELECT *, row_number() OVER (ORDER BY doc_id) AS rn,

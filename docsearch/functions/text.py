@@ -152,8 +152,9 @@ def fold_accents(c: Column | str) -> Column:
     has_longer = _ranges([ch for ch, _ in longer])
 
     def spell_out(text: Column) -> Column:
+        present = F.filter(forms, lambda f: F.contains(text, F.substring(f, 1, 1)))
         spelled = F.when(text.rlike(has_longer), F.aggregate(
-            forms, text,
+            present, text,
             lambda acc, f: F.replace(acc, F.substring(f, 1, 1), F.substr(f, F.lit(2))),
         )).otherwise(text)
         return F.when(

@@ -97,12 +97,25 @@ def within_df_bounds(freq: DataFrame, n_docs: int, params: SparseParams) -> Data
 
 
 def prune_vocabulary(freq: DataFrame, n_docs: int, params: SparseParams) -> DataFrame:
-    """Terms within the bounds; of these the most frequent ``max_features``."""
-    return (
-        within_df_bounds(freq, n_docs, params)
-        .orderBy(F.desc("ctf"), F.asc("term"))
-        .limit(params.max_features)
-    )
+    """Terms within the bounds; of these the most frequent ``max_features``, ties by term.
+
+    The frequency at the cut is found from the number of terms of each frequency,
+    so only the terms of that one frequency are ordered.
+    """
+    kept = within_df_bounds(freq, n_docs, params)
+    sizes = kept.groupBy("ctf").count().orderBy(F.desc("ctf")).limit(params.max_features).collect()
+    room, cut = params.max_features, None
+    for row in sizes:
+        if row["count"] > room:
+            cut = row["ctf"]
+            break
+        room -= row["count"]
+        if room == 0:
+            return kept.filter(F.col("ctf") >= row["ctf"])
+    if cut is None:
+        return kept
+    return kept.filter(F.col("ctf") > cut).unionByName(
+        kept.filter(F.col("ctf") == cut).orderBy("term").limit(room))
 
 
 def idf(df: Column | str, n_docs: int | Column) -> Column:

@@ -45,15 +45,25 @@ def _one_row(parts: DataFrame, *columns: str) -> DataFrame:
     return parts.agg(*[F.max(c).alias(c) for c in columns])
 
 
-def index_ready(sparse_stats: DataFrame, dense_stats: DataFrame) -> DataFrame:
-    """Per index: available and ready; overall ready follows the sparse index."""
-    parts = sparse_stats.select(F.col("is_fitted").alias("tfidf_ready")).unionByName(
-        dense_stats.select(F.col("is_fitted").alias("transformer_ready")),
-        allowMissingColumns=True,
-    )
+def index_ready(sparse_stats: DataFrame | None, dense_stats: DataFrame | None) -> DataFrame:
+    """Per index: available and ready; overall ready follows the sparse index.
+
+    An index that there is not has no statistics: it is neither.
+    """
+    given = sparse_stats if sparse_stats is not None else dense_stats
+    if given is None:
+        raise ValueError("at least one index is needed")
+
+    def ready(stats: DataFrame | None, name: str) -> DataFrame:
+        if stats is None:
+            return given.limit(1).select(F.lit(False).alias(name))
+        return stats.select(F.col("is_fitted").alias(name))
+
+    parts = ready(sparse_stats, "tfidf_ready").unionByName(
+        ready(dense_stats, "transformer_ready"), allowMissingColumns=True)
     return _one_row(parts, "tfidf_ready", "transformer_ready").select(
-        F.lit(True).alias("tfidf_available"), "tfidf_ready",
-        F.lit(True).alias("transformer_available"), "transformer_ready",
+        F.lit(sparse_stats is not None).alias("tfidf_available"), "tfidf_ready",
+        F.lit(dense_stats is not None).alias("transformer_available"), "transformer_ready",
         F.col("tfidf_ready").alias("ready"),
     )
 
@@ -61,10 +71,14 @@ def index_ready(sparse_stats: DataFrame, dense_stats: DataFrame) -> DataFrame:
 def engine_stats(
     sparse_stats: DataFrame, dense_stats: DataFrame, search_log: DataFrame,
     similarity_threshold: float = V.SIMILARITY_THRESHOLD, fusion_method: str = "weighted_sum",
+    sparse_weight: float = V.SPARSE_WEIGHT, dense_weight: float = V.DENSE_WEIGHT,
+    modes: Sequence[str] = ("tfidf", "transformer", "hybrid"),
 ) -> DataFrame:
-    """One row: search counters, both indexes, settings."""
+    """One row: search counters in total and for each mode, both indexes, settings in use."""
+    counters = {f"{m}_searches": F.count_if(F.col("mode") == m) for m in modes}
     searches = search_log.agg(
-        F.count("*").alias("total_searches"), F.avg("seconds").alias("avg_search_time")
+        F.count("*").alias("total_searches"), F.avg("seconds").alias("avg_search_time"),
+        *[c.alias(name) for name, c in counters.items()],
     )
     parts = (
         sparse_stats.select("total_documents", "vocabulary_size")
@@ -74,12 +88,12 @@ def engine_stats(
     )
     return _one_row(
         parts, "total_documents", "vocabulary_size", "vectors_held", "vector_dimension",
-        "total_searches", "avg_search_time",
+        "total_searches", "avg_search_time", *counters,
     ).select(
         "*", F.lit(similarity_threshold).alias("similarity_threshold"),
         F.lit(fusion_method).alias("fusion_method"),
-        F.lit(V.SPARSE_WEIGHT).alias("tfidf_weight"),
-        F.lit(V.DENSE_WEIGHT).alias("transformer_weight"),
+        F.lit(sparse_weight).alias("tfidf_weight"),
+        F.lit(dense_weight).alias("transformer_weight"),
     )
 
 
@@ -153,8 +167,11 @@ def threshold_sweep(
     """Result count and score range of each query at each threshold.
 
     ``results`` are those of the lowest threshold, cut at ``max_results``: the
-    best rows above a higher threshold are a part of them.
+    best rows above a higher threshold are a part of them. A query that was run
+    at a higher threshold than the lowest step is an error.
     """
+    if not queries.filter(F.col("similarity_threshold") > float(min(thresholds))).isEmpty():
+        raise ValueError(f"results must be made at a threshold of {min(thresholds)} or less")
     steps = F.explode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("threshold")
     wanted = queries.select("query_id", steps)
     reached = (

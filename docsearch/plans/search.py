@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -380,6 +381,28 @@ def search(
     raise ValueError(f"unknown search mode: {mode}")
 
 
+# --- search log ---------------------------------------------------------------
+
+
+def logged_search(log: str, queries: DataFrame, mode: str = "hybrid", **options) -> DataFrame:
+    """Search, write the results, and add a row for each query to the log table.
+
+    The log (``query_id, query, mode, ts, seconds, results_count``) is a Parquet
+    folder. The time of a batch is shared by its queries.
+    """
+    started = time.perf_counter()
+    results = written(search(queries, mode, **options), "results")
+    seconds = time.perf_counter() - started
+    found = results.groupBy("query_id").agg(F.count("*").alias("results_count"))
+    n = max(queries.count(), 1)
+    queries.select("query_id", F.col("text").alias("query")).join(found, "query_id", "left").select(
+        "query_id", "query", F.lit(mode).alias("mode"), F.current_timestamp().alias("ts"),
+        F.lit(seconds / n).alias("seconds"),
+        F.coalesce("results_count", F.lit(0)).alias("results_count"),
+    ).write.mode("append").parquet(log)
+    return results
+
+
 # --- growth report ------------------------------------------------------------
 
 
