@@ -13,13 +13,16 @@ from docsearch.llm import (
     language_id,
     licenses,
     mixing,
+    periodic_runs,
     ppm,
+    rule_ensemble,
     simhash_dedup,
     substring_dedup,
     toxicity,
     url_filter,
+    whitening,
 )
-from docsearch.llm.common import fold, table, written
+from docsearch.llm.common import SPACE, fold, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -122,3 +125,55 @@ def fingerprint_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_license_scan")
 def license_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op11_block_whitening")
+def whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", whitening.fixed_point(F.col("embedding"), 64, 1_000_000).alias("x"))
+    found = whitening.whiten(vectors, id_column="vec_id")
+    parts = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "part")
+    return found.select(
+        F.col("id").alias("vec_id"), "n", F.col("deviation").cast("long").alias("deviation"),
+        "identity_error", parts).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation",
+        F.col("part.whitened").alias("whitened"), F.col("part.explained").alias("explained"),
+        "identity_error")
+
+
+@query("op13_rule_quality")
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ensemble = rule_ensemble.fit(docs, table(spark, sf_dir, "labels"), learned(3, 1))
+    return rule_ensemble.score(docs, ensemble).select(
+        "doc_id", (~learned(3, 1)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def tailed_with_copies(docs):
+    """Documents a tenth of which go on with copies of a stretch of theirs, by their id."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    split = F.filter(F.split(F.coalesce("text", F.lit("")), SPACE), lambda w: w != "")
+    cut = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, split).alias("words"))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    sized = cut.withColumns({"n": n, "a": F.when(n > 0, (g % n).cast("int")), "g": g})
+    period = (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    dealt = sized.withColumn("p", period)
+    copies = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), copies))
+    edited = F.slice(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), F.lit(1), F.col("n"))
+    return dealt.select("doc_id", F.when(
+        F.col("n") > 0, F.array_join(edited, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def periodic_run_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find(tailed_with_copies(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = found.withColumn("best", periodic_runs.longest_run("runs"))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length",
+        "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
