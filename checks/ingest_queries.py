@@ -15,7 +15,9 @@ from docsearch.plans import index as I
 from docsearch.plans import search as P
 from docsearch.runtime import new_folder
 from docsearch.sources import documents as D
-from docsearch.sources.index_store import DenseStore, SparseStore, load_hybrid, save_hybrid
+from docsearch.sources.index_store import (
+    DenseStore, HybridStore, SparseStore, load_hybrid, save_hybrid,
+)
 from docsearch.streaming import ingest
 
 # --- sources and sinks ------------------------------------------------------------
@@ -435,8 +437,7 @@ def append_documents(spark, sf_dir):
     FROM cleaned c JOIN docs d USING (doc_id) LEFT JOIN vectors v USING (doc_id)"""))
 def add_documents_hybrid(spark, sf_dir):
     """Two batches, each added to both indexes in one call."""
-    sparse_store = SparseStore(spark, new_folder(spark, "both"), T.PARAMS)
-    dense_store = DenseStore(spark, new_folder(spark, "both"))
+    store = HybridStore(spark, new_folder(spark, "both"), T.PARAMS)
     docs, vectors = T.documents(spark, sf_dir), T.vectors(spark, sf_dir)
     even = F.col("doc_id").cast("long") % 2 == 0
 
@@ -444,8 +445,7 @@ def add_documents_hybrid(spark, sf_dir):
         return new.select("doc_id", "batch_id").join(vectors, "doc_id")
 
     for part in (docs.filter(even), docs.filter(~even)):
-        left, right = ingest.add_documents(
-            sparse_store, dense_store, part, S.AS_OF_YEAR, held)
+        left, right = ingest.add_documents(store, part, S.AS_OF_YEAR, held)
     keys = ["doc_id", "batch_id"]
     cleaned = left.docs.select(*keys, F.length("content").cast("bigint").alias("cleaned_chars"))
     original = right.docs.select(*keys, F.length("content").cast("bigint").alias("original_chars"))

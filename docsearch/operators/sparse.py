@@ -77,17 +77,10 @@ def document_frequency(tf: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def term_statistics(tokenised: DataFrame, ngram_range: tuple[int, int]) -> DataFrame:
     """Document and corpus frequency of every term, straight from the tokens.
 
-    Every document gives its distinct terms once and all its terms once; both
-    are summed together, before and after one shuffle on the term.
+    Terms are counted inside the row, so each document gives its distinct terms once; both
+    sums come from the same rows, before and after one shuffle on the term.
     """
-    terms = tokenised.select(X.ngrams("tokens", ngram_range).alias("terms"))
-    both = terms.select(F.inline(F.array(
-        F.struct(F.array_distinct("terms").alias("terms"), F.lit(1).alias("d"), F.lit(0).alias("c")),
-        F.struct("terms", F.lit(0).alias("d"), F.lit(1).alias("c")),
-    )))
-    return both.select(F.explode("terms").alias("term"), "d", "c").groupBy("term").agg(
-        F.sum("d").alias("df"), F.sum("c").alias("ctf")
-    )
+    return document_frequency(term_frequency(tokenised, ngram_range, keys=()))
 
 
 def within_df_bounds(freq: DataFrame, n_docs: int, params: SparseParams) -> DataFrame:
@@ -196,7 +189,7 @@ def _weigh_by_join(tokenised: DataFrame, vocab: DataFrame, params: SparseParams)
 def query_weights(
     queries: DataFrame, vocab: DataFrame, params: SparseParams, vocab_rows: int
 ) -> DataFrame:
-    """TF-IDF vector of each cleaned query text: (query_id, term, query_weight).
+    """TF-IDF vector of each cleaned query text: (query_id, term, idf, query_weight).
 
     Terms outside the vocabulary vanish.
     """
@@ -209,27 +202,70 @@ def query_weights(
         .withColumn("raw", F.col("tf") * F.col("idf"))
     )
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("query_id")))
-    return raw.select("query_id", "term", (F.col("raw") / norm).alias("query_weight"))
+    return raw.select("query_id", "term", "idf", (F.col("raw") / norm).alias("query_weight"))
 
 
-def score_sparse(postings: DataFrame, weights: DataFrame, weight_rows: int) -> DataFrame:
-    """Cosine of every (query, document) pair that shares a term.
+def norms(counts: DataFrame, vocab: DataFrame, vocab_rows: int) -> DataFrame:
+    """Length of the TF-IDF vector of each document. Stored counts are summed in the bucket."""
+    raw = F.col("tf") * F.col("idf")
+    return counts.join(broadcast_if(vocab.select("term", "idf"), vocab_rows), "term").groupBy(
+        *DOC_KEY).agg(F.sqrt(F.sum(raw * raw)).alias("norm"))
 
-    Postings that are stored bucketed by document are summed where they are
-    read, so a cut per query can follow before anything is shuffled. The query
-    side is broadcast, in blocks of queries whose rows keep within the bound.
-    """
+
+def weighted(counts: DataFrame, rows: DataFrame, vocab: DataFrame, vocab_rows: int) -> DataFrame:
+    """Postings with weights, from raw counts and the norms of the documents."""
+    return (
+        counts.join(broadcast_if(vocab.select("term", "idf"), vocab_rows), "term")
+        .join(rows.select(*DOC_KEY, "norm").hint("shuffle_hash"), list(DOC_KEY))
+        .select("term", *DOC_KEY, "tf", (F.col("tf") * F.col("idf") / F.col("norm")).alias("weight"))
+    )
+
+
+def _in_blocks(weights: DataFrame, weight_rows: int, score) -> DataFrame:
+    """``score`` of the query side, in blocks of queries whose rows keep within the bound."""
     blocks = max(1, -(-weight_rows // BROADCAST_ROWS))
-    total = F.sum(F.col("weight") * F.col("query_weight"))
     scored = None
     for block in range(blocks):
         part = weights
         if blocks > 1:
             part = weights.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
-        found = (
-            postings.join(F.broadcast(part), "term")
-            .groupBy("query_id", *DOC_KEY)
-            .agg(F.least(F.round(total, SCORE_DIGITS), F.lit(1.0)).alias("score"))
-        )
+        found = score(F.broadcast(part))
         scored = found if scored is None else scored.unionByName(found)
     return scored
+
+
+def _cosine(total: Column) -> Column:
+    return F.least(F.round(total, SCORE_DIGITS), F.lit(1.0))
+
+
+def score_sparse(postings: DataFrame, weights: DataFrame, weight_rows: int) -> DataFrame:
+    """Cosine of every (query, document) pair that shares a term.
+
+    Postings that are stored bucketed by document are summed where they are
+    read, so a cut per query can follow before anything is shuffled. The query
+    side is broadcast, in blocks of queries.
+    """
+    total = F.sum(F.col("weight") * F.col("query_weight"))
+
+    def score(part: DataFrame) -> DataFrame:
+        return postings.join(part, "term").groupBy("query_id", *DOC_KEY).agg(
+            _cosine(total).alias("score"))
+
+    return _in_blocks(weights, weight_rows, score)
+
+
+def score_counts(
+    counts: DataFrame, rows: DataFrame, weights: DataFrame, weight_rows: int,
+    columns: Sequence[str] = (),
+) -> DataFrame:
+    """The same from raw counts: summed in the bucket, then divided by the norm, which
+    stands in the same bucket with the other ``columns`` of the document. Nothing is shuffled."""
+    total = F.sum(F.col("tf") * F.col("idf") * F.col("query_weight"))
+    beside = rows.select(*DOC_KEY, "norm", *columns).hint("shuffle_hash")
+
+    def score(part: DataFrame) -> DataFrame:
+        found = counts.join(part, "term").groupBy("query_id", *DOC_KEY).agg(total.alias("_total"))
+        return found.join(beside, list(DOC_KEY)).select(
+            "query_id", *DOC_KEY, _cosine(F.col("_total") / F.col("norm")).alias("score"), *columns)
+
+    return _in_blocks(weights, weight_rows, score)

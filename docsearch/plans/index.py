@@ -18,7 +18,9 @@ from docsearch.schema import SparseParams
 class SparseIndex:
     """``docs`` hold cleaned content and tokens; see ``sparse`` for the rest.
 
-    The bucket counts are set for stored tables, which are partitioned by them.
+    The bucket counts are set for stored tables, which are partitioned by them. A stored
+    index has its raw ``counts`` (``term, doc_id, batch_id, tf``) and, bucketed in the same
+    way, ``rows`` with norm and attributes of each document; ``postings`` follow from them.
     """
 
     docs: DataFrame
@@ -28,6 +30,8 @@ class SparseIndex:
     vocab_rows: int
     params: SparseParams
     doc_buckets: int | None = None
+    counts: DataFrame | None = None
+    rows: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -75,8 +79,20 @@ def fit_vocabulary(
     return vocab, vocab.count()
 
 
+def fit_with_fallback(
+    freq: DataFrame, n_docs: int, params: SparseParams
+) -> tuple[SparseParams, DataFrame, int]:
+    """Settings and vocabulary; when the bounds leave no term, they are dropped."""
+    fitted = params.for_corpus(n_docs)
+    vocab, rows = fit_vocabulary(freq, n_docs, fitted)
+    if rows == 0 and n_docs > 0:
+        fitted = fitted.permissive()
+        vocab, rows = fit_vocabulary(freq, n_docs, fitted)
+    return fitted, vocab, rows
+
+
 def index_from_tokens(
-    tokenised: DataFrame, params: SparseParams, freq: DataFrame | None = None
+    tokenised: DataFrame, params: SparseParams
 ) -> SparseIndex:
     """Vocabulary and postings over tokenised documents.
 
@@ -84,13 +100,8 @@ def index_from_tokens(
     either, the simplest analyser is used.
     """
     n_docs = tokenised.count()
-    fitted = params.for_corpus(n_docs)
-    if freq is None:
-        freq = sparse.term_statistics(tokenised, fitted.ngram_range)
-    vocab, rows = fit_vocabulary(freq, n_docs, fitted)
-    if rows == 0 and n_docs > 0:
-        fitted = fitted.permissive()
-        vocab, rows = fit_vocabulary(freq, n_docs, fitted)
+    freq = sparse.term_statistics(tokenised, params.ngram_range)
+    fitted, vocab, rows = fit_with_fallback(freq, n_docs, params)
     if rows == 0 and n_docs > 0:
         fitted = fitted.last_resort(n_docs)
         tokenised = written(sparse.with_tokens(tokenised, fitted), "docs")

@@ -14,12 +14,13 @@ from docsearch.functions import text as X
 from docsearch.functions.vectors import normalise
 from docsearch.operators import dense, filters, fusion, sparse, validate
 from docsearch.plans.index import DenseIndex, SparseIndex, doc_bucket, index_from_tokens
-from docsearch.runtime import broadcast_if, written
+from docsearch.runtime import BROADCAST_ROWS, broadcast_if, written
 from docsearch.schema import QUERIES, REQUEST, SparseParams
 
 # Up to this many distinct query terms are pushed to the postings scan.
 PUSHED_TERMS = 2_000
 
+_FILTERED = ("entity_id", "doc_type", "date")
 _ATTRIBUTES = ("entity_id", "doc_type", "date", "metadata")
 
 
@@ -107,54 +108,38 @@ def _dated_requests(requests: DataFrame) -> DataFrame:
 # --- candidates ---------------------------------------------------------------
 
 
-def _limits(queries: DataFrame, share: float) -> DataFrame:
-    return queries.select(
-        "query_id", (F.col("similarity_threshold") * share).alias("similarity_threshold"),
-        "max_results",
-    )
-
-
-def _zero_scores(
-    docs: DataFrame, queries: DataFrame, limit: int, prefilter: bool
+def _zero_pairs(
+    docs: DataFrame, asked: DataFrame, n_queries: int, limit: int, prefilter: bool
 ) -> DataFrame:
-    """Documents that a threshold of zero lets in without any common term.
+    """Documents that a threshold of zero lets in without any common term, with a score of 0.
 
-    They come last, in id order, so the first ``limit`` ids are all that can
-    fill a list up to its cut.
+    They come last, in id order. Without filters the first ``limit`` ids are all that can
+    fill a list up to its cut; with filters every document that passes is a candidate, and
+    the cut per query leaves each task its first ones.
     """
-    zero = queries.filter(F.col("similarity_threshold") <= 0)
-    keys = docs.select(*sparse.DOC_KEY, "entity_id", "doc_type", "date")
-
-    def first_ids(frame: DataFrame) -> DataFrame:
-        return frame.orderBy(*sparse.DOC_KEY).limit(limit).select(*sparse.DOC_KEY)
-
+    zero = asked.filter(F.col("similarity_threshold") <= 0).withColumn("score", F.lit(0.0))
     if not prefilter:
-        ids = [(r["doc_id"], r["batch_id"]) for r in first_ids(keys).collect()]
-        filler = F.array(*[
-            F.struct(F.lit(d).alias("doc_id"), F.lit(b).cast("bigint").alias("batch_id"))
-            for d, b in ids
-        ]).cast("array<struct<doc_id: string, batch_id: bigint>>")
-        return zero.select("query_id", F.inline(filler))
+        first = docs.select(*sparse.DOC_KEY).orderBy(*sparse.DOC_KEY).limit(limit)
+        return zero.crossJoin(F.broadcast(first))
+    blocks = max(1, -(-n_queries // BROADCAST_ROWS))
     found = None
-    for q in zero.select("query_id", *filters.QUERY_FILTERS).collect():
-        own = filters.filter_date_range(
-            filters.filter_doc_type(filters.filter_entity(keys, q["entity_ids"]), q["doc_types"]),
-            q["date_from"], q["date_to"],
-        )
-        part = first_ids(own).select(F.lit(q["query_id"]).alias("query_id"), *sparse.DOC_KEY)
-        found = part if found is None else found.unionByName(part)
+    for block in range(blocks):
+        part = zero.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
+        pairs = docs.select(*sparse.DOC_KEY, *_FILTERED).join(
+            F.broadcast(part), filters.passes_filters())
+        found = pairs if found is None else found.unionByName(pairs)
     return found
 
 
-def _postings_of(index: SparseIndex, weights: DataFrame) -> DataFrame:
+def _postings_of(postings: DataFrame, weights: DataFrame) -> DataFrame:
     """Postings of the query terms; few terms are pushed to the scan, where
     postings stand sorted by term."""
     terms = [
         r["term"] for r in weights.select("term").distinct().limit(PUSHED_TERMS + 1).collect()
     ]
     if not terms or len(terms) > PUSHED_TERMS:
-        return index.postings
-    return index.postings.filter(F.col("term").isin(*terms))
+        return postings
+    return postings.filter(F.col("term").isin(*terms))
 
 
 def sparse_hits(
@@ -165,28 +150,40 @@ def sparse_hits(
     threshold_share: float = 1.0,
     prefilter: bool = False,
 ) -> DataFrame:
-    """First ``factor * max_results`` documents of each query by TF-IDF cosine."""
+    """First ``factor * max_results`` documents of each query by TF-IDF cosine.
+
+    On a stored index scores, filters and the first cut are made in the bucket of the
+    document; one exchange brings the candidates of a query together.
+    """
     weights = written(
         sparse.query_weights(queries, index.vocab, index.params, index.vocab_rows),
         "query_weights",
     )
-    scored = sparse.score_sparse(_postings_of(index, weights), weights, bounds.n_terms)
-    if bounds.zero_threshold:
-        filler = _zero_scores(index.docs, queries, factor * bounds.max_results, prefilter)
-        keys = ["query_id", *sparse.DOC_KEY]
-        scored = (
-            scored.unionByName(filler.withColumn("score", F.lit(0.0)))
-            .groupBy(*keys).agg(F.max("score").alias("score"))
-        )
-    hits = filters.filter_threshold(
-        scored.join(broadcast_if(_limits(queries, threshold_share), bounds.n), "query_id")
-    )
+    attributes = _FILTERED if prefilter else ()
+    keys = index.docs if index.rows is None else index.rows
+    if index.counts is None:
+        scored = sparse.score_sparse(_postings_of(index.postings, weights), weights, bounds.n_terms)
+        if prefilter:
+            scored = scored.join(keys.select(*sparse.DOC_KEY, *attributes), list(sparse.DOC_KEY))
+    else:
+        scored = sparse.score_counts(
+            _postings_of(index.counts, weights), index.rows, weights, bounds.n_terms, attributes)
+    asked = queries.select(
+        "query_id", (F.col("similarity_threshold") * threshold_share).alias("similarity_threshold"),
+        "max_results", *(filters.QUERY_FILTERS if prefilter else ()))
+    hits = filters.filter_threshold(scored.join(broadcast_if(asked, bounds.n), "query_id"))
     if prefilter:
-        attributes = index.docs.select(*sparse.DOC_KEY, "entity_id", "doc_type", "date")
-        hits = filters.query_filter_join(
-            hits, queries, attributes, bounds.n, n_hits=bounds.n * index.n_docs
-        ).drop("entity_id", "doc_type", "date")
-    return filters.top_per_query(hits, factor, bounds.max_results).drop("similarity_threshold")
+        hits = hits.filter(filters.passes_filters())
+    wanted = ["query_id", *sparse.DOC_KEY, "score", "max_results"]
+    hits = hits.select(*wanted)
+    if bounds.zero_threshold:
+        # A document of both lists stands first with its score, so twice the limit is enough.
+        both = hits.unionByName(_zero_pairs(
+            keys, asked, bounds.n, factor * bounds.max_results, prefilter).select(*wanted))
+        first = filters.top_per_query(both, 2 * factor, bounds.max_results)
+        hits = first.groupBy("query_id", *sparse.DOC_KEY).agg(
+            F.max("score").alias("score"), F.max("max_results").alias("max_results"))
+    return filters.top_per_query(hits, factor, bounds.max_results)
 
 
 def dense_hits(

@@ -1,25 +1,33 @@
-"""Stored indexes: Parquet tables under one folder.
-
-Layout of the sparse part::
-
-    docs/batch_id=../doc_bucket=..    cleaned documents with tokens
-    freq/batch_id=..                  term statistics of each batch
-    versions/<n>/vocab
-    versions/<n>/postings             bucketed by document, sorted by term
-    versions/<n>/meta                 written last: makes the version visible
-
-The store numbers its batches. A batch may come with a key of its source, as
-the epoch of a stream; the same key gets the same number again, so a repeated
-attempt overwrites its own rows and no others. ``batches`` holds the keys, and
-``rejects/batch_id=..`` the rows of a batch that were refused, with reasons. A
-store has one writer at a time. Large tables get more buckets; a search opens only the
-buckets it needs.
+"""Stored indexes: Parquet tables under one folder that only ever grow by new files.
+
+A sparse store keeps immutable segments and small versions that list them::
+
+    docs/segment=../doc_bucket=..     cleaned documents with tokens
+    postings/segment=..               term counts, bucketed by document, sorted by term
+    freq/segment=..                   term statistics of the segment
+    log/                              one row for each segment, in the order of writing
+    versions/<n>/vocab                pruned vocabulary
+    versions/<n>/rows-..              norm and attributes of each document, bucketed likewise
+    meta/                             one row for each version, written last
+
+A batch becomes a segment of raw counts, so it writes what it holds and nothing of the rest.
+Weights are not stored: a search multiplies counts with the idf of its version and divides by
+the norm of the document. The norms of a version are made when it is loaded first. When
+``MERGE`` segments of one size have come together they are written as one, and a store that
+has outgrown its buckets is dealt anew.
+
+Nothing that a published version lists is overwritten: a save or an append that dies half-way
+leaves the last version as it was. The store numbers its batches. A batch may come with a key
+of its source, as the epoch of a stream; the same key gets the same number again, and its
+segment takes the place of the one before. ``rejects/batch_id=..`` holds the rows of a batch
+that were refused, with reasons. A store has one writer at a time. Files that no version lists
+any more are left to the owner of the folder.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import replace
 
 import numpy as np
@@ -32,111 +40,244 @@ from docsearch.operators import dense, sparse
 from docsearch.plans import index as I
 from docsearch.runtime import written
 from docsearch.schema import DOCS, SparseParams
+from docsearch.sources.bucketed import (
+    append_json,
+    json_rows,
+    latest,
+    read_bucketed,
+    write_bucketed,
+)
 
-POSTING_BUCKETS = 16
-DOC_BUCKETS = 8
-
-_SPARSE_META = (
-    "version int, n_docs bigint, vocab_rows int, last_batch bigint, posting_buckets int, "
-    "doc_buckets int, max_features int, min_df int, max_df double, ngram_low int, "
-    "ngram_high int, stop_words array<string>, fallback_analyser boolean"
+# Text in one bucket, least number of buckets, and how often that text before they are dealt anew.
+BUCKET_BYTES = 128 << 20
+LEAST_BUCKETS = 8
+OUTGROWN = 4
+# Segments of one size that are merged; sizes are powers of it.
+MERGE = 8
+
+_SEGMENT = ("segment string, batch_id bigint, last_batch bigint, n_docs bigint, bytes bigint, "
+            "posting_buckets int, doc_buckets int")
+_LOG = f"place bigint, key string, replaces array<string>, reset boolean, {_SEGMENT}"
+_SEGMENT_FIELDS = [f.split()[0] for f in _SEGMENT.split(", ")]
+_META = (
+    "version int, place bigint, n_docs bigint, vocab_rows int, max_features int, min_df int, "
+    "max_df double, ngram_low int, ngram_high int, stop_words array<string>, "
+    f"fallback_analyser boolean, segments array<struct<{_SEGMENT}>>"
 )
 _DENSE_META = (
     "version int, n_vectors bigint, dimension int, doc_buckets int, "
-    "centres array<array<double>>"
+    "centres array<array<double>>, segments array<struct<segment: string, n_docs: bigint>>"
 )
-_BATCHES = "batch_id bigint, key string"
-_FREQ = "term string, df bigint, ctf bigint, batch_id bigint"
+_PUBLISHED = "place bigint, sparse_version int, dense_version int"
+_READY = "folder string"
+_FREQ = "term string, df bigint, ctf bigint"
 _VOCAB = "term string, df bigint, ctf bigint, idf double"
-_POSTINGS = "term string, doc_id string, batch_id bigint, tf bigint, weight double"
-_VECTORS = "doc_id string, batch_id bigint, embedding array<float>, cluster_id int"
+_COUNTS = "term string, doc_id string, batch_id bigint, tf bigint"
+_ROWS = ("doc_id string, batch_id bigint, norm double, entity_id string, doc_type string, "
+         "date timestamp_ntz")
+_VECTORS = T.StructType([
+    T.StructField("doc_id", T.StringType()), T.StructField("batch_id", T.LongType()),
+    T.StructField("embedding", T.ArrayType(T.FloatType())),
+    T.StructField("segment", T.StringType()), T.StructField("cluster_id", T.IntegerType())])
 _STORED_DOCS = T.StructType([
     *DOCS.fields, T.StructField("tokens", T.ArrayType(T.StringType())),
-    T.StructField("batch_id", T.LongType()), T.StructField("doc_bucket", T.IntegerType()),
+    T.StructField("batch_id", T.LongType()), T.StructField("segment", T.StringType()),
+    T.StructField("doc_bucket", T.IntegerType()),
 ])
 
 
-def _latest(spark: SparkSession, root: str, schema: str):
-    """Meta row of the newest complete version, or none."""
-    try:
-        rows = spark.read.schema(schema).json(f"{root}/versions/*/meta")
-        return rows.orderBy(F.desc("version")).first()
-    except AnalysisException:
-        return None
+def _write_folders(df: DataFrame, path: str, bucket: str, *order: str) -> None:
+    """One folder per bucket. A bucket that is too large for one task is split."""
+    (
+        df.hint("rebalance", bucket).sortWithinPartitions(bucket, *order)
+        .write.partitionBy(bucket).parquet(path)
+    )
 
 
-def _table_name(base: str) -> str:
-    """Name in the catalog of the postings below a folder."""
-    return f"docsearch_postings_{hashlib.sha256(base.encode()).hexdigest()[:24]}"
+def _read_segments(
+    spark: SparkSession, root: str, segments: Sequence[str], schema: T.StructType
+) -> DataFrame:
+    paths = [f"{root}/segment={s}" for s in segments]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(*paths)
 
 
-def _write_bucketed(df: DataFrame, path: str, bucket: str | tuple, *order: str) -> None:
-    """One folder per bucket. A bucket that is too large for one task is split."""
-    bucket = (bucket,) if isinstance(bucket, str) else bucket
-    (
-        df.hint("rebalance", *bucket).sortWithinPartitions(*bucket, *order)
-        .write.mode("overwrite").partitionBy(*bucket).parquet(path)
-    )
+def _as_stored(docs: DataFrame, schema: T.StructType) -> DataFrame:
+    """The stored columns of documents, null where they have none."""
+    fields = [f for f in schema.fields if f.name not in ("segment", "doc_bucket")]
+    return docs.select(*[
+        F.col(f.name) if f.name in docs.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in fields])
+
+
+def due_merge(sizes: Sequence[tuple[str, int]], merge: int = MERGE) -> list[str]:
+    """Segments (name, size) to be written as one: as many of one size as ``merge``, smallest
+    sizes first; none when there are not that many."""
+    tiers: dict[int, list[str]] = {}
+    for name, size in sizes:
+        tier = 0
+        while size >= merge:
+            size, tier = size // merge, tier + 1
+        tiers.setdefault(tier, []).append(name)
+    return next((names for _, names in sorted(tiers.items()) if len(names) >= merge), [])
 
 
 def latest_rows(docs: DataFrame) -> DataFrame:
     """Of each document id, the row of its latest batch."""
-    latest = Window.partitionBy("doc_id").orderBy(F.desc("batch_id"))
+    newest = Window.partitionBy("doc_id").orderBy(F.desc("batch_id"))
     return (
-        docs.withColumn("_place", F.row_number().over(latest))
+        docs.withColumn("_place", F.row_number().over(newest))
         .filter(F.col("_place") == 1).drop("_place")
     )
 
 
 class SparseStore:
-    """A stored sparse index that grows batch by batch."""
+    """A stored sparse index that grows batch by batch.
+
+    The numbers of buckets are for a new store; without them they follow from its first batch.
+    """
 
     def __init__(
         self, spark: SparkSession, root: str, params: SparseParams = SparseParams(),
-        posting_buckets: int = POSTING_BUCKETS, doc_buckets: int = DOC_BUCKETS,
+        posting_buckets: int | None = None, doc_buckets: int | None = None,
         replace: bool = False,
     ):
         self.spark, self.root, self.params = spark, root.rstrip("/"), params
         self.posting_buckets, self.doc_buckets = posting_buckets, doc_buckets
         self.replace = replace
 
+    # --- the log of segments ---
+
+    def _log(self) -> DataFrame:
+        return json_rows(self.spark, f"{self.root}/log", _LOG)
+
+    def _meta(self, version: int | None = None):
+        rows = json_rows(self.spark, f"{self.root}/meta", _META)
+        return latest(rows if version is None else rows.filter(F.col("version") == version),
+                      "version")
+
+    def _state(self) -> tuple[dict[str, dict], int]:
+        """Segments that are live, by name, and the last place of the log.
+
+        Only what was logged after the last version is collected.
+        """
+        meta = self._meta()
+        live = {} if meta is None else {s["segment"]: s.asDict() for s in meta["segments"]}
+        place = -1 if meta is None else meta["place"]
+        if meta is not None and meta["fallback_analyser"]:
+            # The one segment of such a version is its own; the log knows the others.
+            live, place = {}, -1
+        for entry in self._log().filter(F.col("place") > place).orderBy("place").collect():
+            if entry["reset"]:
+                live = {}
+            for gone in entry["replaces"] or ():
+                live.pop(gone, None)
+            live[entry["segment"]] = {k: entry[k] for k in _SEGMENT_FIELDS}
+            place = entry["place"]
+        return live, place
+
+    def _commit(self, place: int, entries: Sequence[tuple[dict, str | None, list[str], bool]]):
+        append_json(self.spark, f"{self.root}/log", _LOG, [
+            (place + 1 + i, key, replaces, reset, *[segment[k] for k in _SEGMENT_FIELDS])
+            for i, (segment, key, replaces, reset) in enumerate(entries)])
+
     def batch_number(self, key: str | None = None, batch_id: int | None = None) -> int:
         """The number of a batch: that of its key, if the key was seen, or a new one.
 
         A number that is asked for and belongs to another key is an error.
         """
-        try:
-            held = self.spark.read.schema(_BATCHES).json(f"{self.root}/batches")
-            known = {r["batch_id"]: r["key"] for r in held.collect()}
-        except AnalysisException:
-            known = {}
+        log = self._log()
+        start = log.filter("reset").agg(F.coalesce(F.max("place"), F.lit(-1))).first()[0]
+        log = log.filter(F.col("place") >= start)
         if batch_id is not None:
             key = key if key is not None else f"batch {batch_id}"
-            if known.get(batch_id, key) != key:
-                raise ValueError(f"batch {batch_id} is taken by {known[batch_id]!r}")
-        elif key is not None and key in known.values():
-            return max(b for b, k in known.items() if k == key)
-        else:
-            batch_id = max(known, default=-1) + 1
-            key = key if key is not None else f"batch {batch_id}"
-        if batch_id not in known:
-            self.spark.createDataFrame([(batch_id, key)], _BATCHES).coalesce(1).write.mode(
-                "append").json(f"{self.root}/batches")
-        return batch_id
+            held = log.filter(
+                (F.col("batch_id") == batch_id) & F.col("key").isNotNull()
+                | F.col("reset") & (F.col("last_batch") >= batch_id)
+            ).orderBy(F.desc("place")).first()
+            if held is not None and held["key"] != key:
+                raise ValueError(f"batch {batch_id} is taken by {held['key']!r}")
+            return batch_id
+        if key is not None:
+            held = log.filter((F.col("key") == key) & F.col("batch_id").isNotNull()).agg(
+                F.max("batch_id")).first()[0]
+            if held is not None:
+                return held
+        last = log.agg(F.coalesce(F.max("last_batch"), F.lit(-1))).first()[0]
+        return last + 1
+
+    # --- segments ---
+
+    def _buckets(self, live: dict[str, dict], docs: DataFrame) -> tuple[int, int]:
+        """Numbers of buckets: those of the store, else as given, else from the text at hand."""
+        for segment in live.values():
+            return segment["posting_buckets"], segment["doc_buckets"]
+        if self.posting_buckets and self.doc_buckets:
+            return self.posting_buckets, self.doc_buckets
+        size = docs.agg(F.sum(F.octet_length("content"))).first()[0] or 0
+        return self._buckets_for(size)
+
+    def _buckets_for(self, size: int) -> tuple[int, int]:
+        n = max(-(-size // BUCKET_BYTES), LEAST_BUCKETS)
+        return self.posting_buckets or n, self.doc_buckets or n
+
+    def _write_segment(self, rows: DataFrame, buckets: tuple[int, int], batch_id: int | None,
+                       ngram_range: tuple[int, int] | None = None) -> dict:
+        """Store cleaned documents with tokens: their text, counts of terms and statistics.
+
+        Tokens, not postings, are dealt to the buckets; terms are counted inside the row
+        there. The statistics are summed from the counts that were written.
+        """
+        segment = uuid.uuid4().hex
+        postings, doc_buckets = buckets
+        _write_folders(
+            _as_stored(rows, _STORED_DOCS).withColumn(
+                "doc_bucket", I.doc_bucket("doc_id", doc_buckets)),
+            f"{self.root}/docs/segment={segment}", "doc_bucket", "doc_id")
+        stored = self._docs([segment])
+        tokens = stored.select(*sparse.DOC_KEY, "tokens").repartition(postings, *sparse.DOC_KEY)
+        counts = sparse.term_frequency(tokens, ngram_range or self.params.ngram_range)
+        write_bucketed(counts.select("term", *sparse.DOC_KEY, "tf"),
+                       f"{self.root}/postings/segment={segment}", postings, sparse.DOC_KEY,
+                       ("term", *sparse.DOC_KEY))
+        freq = sparse.document_frequency(self.spark.read.schema(_COUNTS).parquet(
+            f"{self.root}/postings/segment={segment}"))
+        freq.write.parquet(f"{self.root}/freq/segment={segment}")
+        size = stored.agg(F.count("*").alias("n"), F.sum(F.octet_length("content")).alias("b"),
+                          F.max("batch_id").alias("last")).first()
+        last = size["last"] if batch_id is None else batch_id
+        return dict(segment=segment, batch_id=batch_id, last_batch=-1 if last is None else last,
+                    n_docs=size["n"], bytes=size["b"] or 0, posting_buckets=postings,
+                    doc_buckets=doc_buckets)
+
+    def _docs(self, segments: Sequence[str]) -> DataFrame:
+        return _read_segments(self.spark, f"{self.root}/docs", segments, _STORED_DOCS)
 
     def append(self, docs: DataFrame, batch_id: int | None = None, key: str | None = None) -> int:
-        """Clean, tokenise and store one batch, with its term statistics.
+        """Clean, tokenise and store one batch as a segment.
 
         Returns the number of the batch. A batch that comes again under the same
         key or number replaces its own rows.
         """
         batch_id = self.batch_number(key, batch_id)
+        live, place = self._state()
         rows = I.tokenised_documents(docs.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
                                      self.params)
-        self._write_docs(rows, batch_id)
-        stored = self._docs().filter(F.col("batch_id") == batch_id)
-        freq = sparse.term_statistics(stored, self.params.ngram_range)
-        freq.write.mode("overwrite").parquet(f"{self.root}/freq/batch_id={batch_id}")
+        buckets = self._buckets(live, docs)
+        replaces, entries = [], []
+        for name, segment in live.items():
+            if segment["batch_id"] == batch_id:
+                replaces.append(name)
+            elif segment["batch_id"] is None and segment["last_batch"] >= batch_id:
+                # A merged segment may hold the batch: what else it holds is written without it.
+                held = self._docs([name])
+                if not held.filter(F.col("batch_id") == batch_id).isEmpty():
+                    rest = held.filter(F.col("batch_id") != batch_id)
+                    entries.append((self._write_segment(rest, buckets, None), None, [name], False))
+        new = self._write_segment(rows, buckets, batch_id)
+        self._commit(place, [*entries, (
+            new, key if key is not None else f"batch {batch_id}", replaces, False)])
         return batch_id
 
     def write_rejects(self, rejects: DataFrame, batch_id: int) -> None:
@@ -150,213 +291,312 @@ class SparseStore:
         except AnalysisException:
             return None
 
+    # --- versions ---
+
     def is_current(self) -> bool:
         """Whether all stored batches are searchable."""
-        try:
-            last = self._docs().agg(F.max("batch_id")).first()[0]
-        except AnalysisException:
-            return True
-        meta = _latest(self.spark, self.root, _SPARSE_META)
-        return last is None or (meta is not None and meta["last_batch"] >= last)
+        last = self._log().agg(F.max("place")).first()[0]
+        meta = self._meta()
+        return last is None or (meta is not None and meta["place"] >= last)
+
+    def _replaced(self, live: dict[str, dict]) -> list[tuple]:
+        """Log entries for the segments that hold rows of ids that came again later."""
+        keys = self._docs(list(live)).select("doc_id", "batch_id", "segment")
+        again = keys.groupBy("doc_id").agg(
+            F.max("batch_id").alias("last"), F.count("*").alias("n")).filter("n > 1")
+        dead = written(keys.join(again, "doc_id"), "dead")
+        entries = []
+        for (name,) in dead.select("segment").distinct().collect():
+            older = dead.filter(F.col("batch_id") < F.col("last")).select("doc_id", "batch_id")
+            rest = latest_rows(self._docs([name]).join(
+                older.distinct(), list(sparse.DOC_KEY), "left_anti"))
+            segment = live[name]
+            buckets = segment["posting_buckets"], segment["doc_buckets"]
+            new = self._write_segment(rest, buckets, segment["batch_id"])
+            if new["n_docs"] != segment["n_docs"]:
+                entries.append((new, None, [name], False))
+        return entries
+
+    def _tidied(self) -> tuple[dict[str, dict], int]:
+        """The live segments after what is due: replaced rows, larger buckets, merges."""
+        live, place = self._state()
+        if self.replace and live and (entries := self._replaced(live)):
+            self._commit(place, entries)
+            live, place = self._state()
+        size, names = sum(s["bytes"] for s in live.values()), []
+        buckets = self._buckets_for(size)
+        held = next(((s["posting_buckets"], s["doc_buckets"]) for s in live.values()), buckets)
+        if buckets[0] > OUTGROWN * held[0]:
+            names = list(live)
+        else:
+            buckets, names = held, due_merge([(n, s["n_docs"]) for n, s in live.items()])
+        if names:
+            merged = self._write_segment(self._docs(names), buckets, None)
+            self._commit(place, [(merged, None, names, False)])
+            live, place = self._state()
+        return live, place
 
-    def refresh(self) -> I.SparseIndex:
-        """Make the stored documents searchable: new vocabulary and weights.
+    def publish(self) -> int | None:
+        """Make the stored documents searchable as a new version; none without documents.
 
-        The vocabulary is summed from the statistics of the batches; no text is
-        read again. Postings are made anew since every weight depends on the
-        whole corpus. With ``replace`` an id that came again replaces its older
-        row; otherwise both rows stay.
+        Reads the term statistics of the segments and writes the vocabulary.
         """
-        docs = self._docs()
-        last = docs.agg(F.max("batch_id")).first()[0]
-        if self.replace:
-            index = I.index_from_tokens(written(latest_rows(docs), "docs"), self.params)
-            return self._write_version(index, last)
-        freq = (
-            self.spark.read.schema(_FREQ).parquet(f"{self.root}/freq")
-            .groupBy("term").agg(F.sum("df").alias("df"), F.sum("ctf").alias("ctf"))
-        )
-        index = I.index_from_tokens(docs, self.params, freq)
-        return self._write_version(index, last)
+        live, place = self._tidied()
+        if not live:
+            return None
+        n_docs = sum(s["n_docs"] for s in live.values())
+        paths = [f"{self.root}/freq/segment={s}" for s in live]
+        freq = self.spark.read.schema(_FREQ).parquet(*paths)
+        if len(paths) > 1:
+            freq = freq.groupBy("term").agg(F.sum("df").alias("df"), F.sum("ctf").alias("ctf"))
+        fitted, vocab, rows = I.fit_with_fallback(freq, n_docs, self.params)
+        if rows == 0 and n_docs > 0:
+            fitted = fitted.last_resort(n_docs)
+            again = sparse.with_tokens(self._docs(list(live)).drop("tokens"), fitted)
+            segment = next(iter(live.values()))
+            own = self._write_segment(again, (segment["posting_buckets"], segment["doc_buckets"]),
+                                      None, fitted.ngram_range)
+            live = {own["segment"]: own}
+            vocab, rows = I.fit_vocabulary(self.spark.read.schema(_FREQ).parquet(
+                f"{self.root}/freq/segment={own['segment']}"), n_docs, fitted)
+        return self._write_version(live, place, n_docs, fitted, vocab, rows)
+
+    def refresh(self) -> I.SparseIndex | None:
+        """``publish`` and ``load``. With ``replace`` an id that came again replaces its
+        older row; otherwise both rows stay."""
+        return self.load(self.publish())
 
     def save(self, index: I.SparseIndex) -> I.SparseIndex:
         """Store an index that was built in one go, in place of what the store held.
 
-        Every batch keeps its number, so the postings still find their documents.
+        Every batch keeps its number, so the postings still find their documents. Until
+        the new version is there, the last one stays what it was.
         """
-        rows = I.with_batch(index.docs.drop("doc_bucket"))
-        for field in _STORED_DOCS.fields:
-            if field.name not in (*rows.columns, "doc_bucket"):
-                rows = rows.withColumn(field.name, F.lit(None).cast(field.dataType))
-        # The index may be one of this store, whose files are about to be replaced.
-        rows = written(rows, "docs")
-        postings, vocab = written(index.postings, "postings"), written(index.vocab, "vocab")
-        index = replace(index, docs=rows, postings=postings, vocab=vocab)
-        last = rows.agg(F.max("batch_id")).first()[0] or 0
-        bucketed = rows.withColumn("doc_bucket", I.doc_bucket("doc_id", self.doc_buckets))
-        _write_bucketed(bucketed, f"{self.root}/docs", ("batch_id", "doc_bucket"), "doc_id")
-        freq = sparse.term_statistics(rows, self.params.ngram_range)
-        freq.write.mode("overwrite").parquet(f"{self.root}/freq")
-        batches = rows.select("batch_id").distinct().select(
-            "batch_id", F.concat(F.lit("saved "), F.col("batch_id").cast("string")).alias("key"))
-        batches.write.mode("overwrite").json(f"{self.root}/batches")
-        return self._write_version(index, last)
-
-    def load(self) -> I.SparseIndex | None:
-        """The newest complete version, or none when there is none yet."""
-        meta = _latest(self.spark, self.root, _SPARSE_META)
+        version = self.save_version(index)
+        return self.load(version)
+
+    def save_version(self, index: I.SparseIndex) -> int:
+        rows = I.with_batch(index.docs.drop("doc_bucket", "segment"))
+        _, place = self._state()
+        segment = self._write_segment(rows, self._buckets({}, rows), None, index.params.ngram_range)
+        self._commit(place, [(segment, "a saved index", [], True)])
+        return self._write_version({segment["segment"]: segment}, place + 1, index.n_docs,
+                                   index.params, index.vocab, index.vocab_rows)
+
+    def _write_version(self, live: dict[str, dict], place: int, n_docs: int,
+                       params: SparseParams, vocab: DataFrame, vocab_rows: int) -> int:
+        previous = self._meta()
+        version = 1 if previous is None else previous["version"] + 1
+        vocab.select("term", "df", "ctf", "idf").write.mode("overwrite").parquet(
+            f"{self.root}/versions/{version}/vocab")
+        p = params
+        append_json(self.spark, f"{self.root}/meta", _META, [(
+            version, place, n_docs, vocab_rows, p.max_features, p.min_df, p.max_df, *p.ngram_range,
+            None if p.stop_words is None else list(p.stop_words), p.fallback_analyser,
+            [tuple(s[k] for k in _SEGMENT_FIELDS) for s in live.values()],
+        )])
+        return version
+
+    def load(self, version: int | None = None) -> I.SparseIndex | None:
+        """The newest complete version, or the given one; none when there is none yet."""
+        meta = self._meta(version)
         if meta is None:
             return None
         base = f"{self.root}/versions/{meta['version']}"
-        read = self.spark.read
+        segments = [s["segment"] for s in meta["segments"]]
+        buckets, doc_buckets = meta["segments"][0]["posting_buckets"], meta["segments"][0]["doc_buckets"]
         stop_words = meta["stop_words"]
-        docs = self._docs().filter(F.col("batch_id") <= meta["last_batch"])
+        vocab = self.spark.read.schema(_VOCAB).parquet(f"{base}/vocab")
+        counts = read_bucketed(
+            self.spark, [f"{self.root}/postings/segment={s}" for s in segments], _COUNTS, buckets,
+            sparse.DOC_KEY)
+        docs = self._docs(segments).drop("segment")
+        rows = self._rows(base, docs, counts, vocab, meta["vocab_rows"], buckets)
         return I.SparseIndex(
-            docs=latest_rows(docs) if self.replace else docs,
-            vocab=read.schema(_VOCAB).parquet(f"{base}/vocab"),
-            postings=self._postings(base, meta["posting_buckets"]),
+            docs=docs, vocab=vocab,
+            postings=sparse.weighted(counts, rows, vocab, meta["vocab_rows"]),
             n_docs=meta["n_docs"], vocab_rows=meta["vocab_rows"],
             params=SparseParams(
                 meta["max_features"], meta["min_df"], meta["max_df"],
                 (meta["ngram_low"], meta["ngram_high"]),
                 None if stop_words is None else tuple(stop_words), meta["fallback_analyser"],
             ),
-            doc_buckets=meta["doc_buckets"],
+            doc_buckets=doc_buckets, counts=counts, rows=rows,
         )
 
-    def _write_postings(self, postings: DataFrame, base: str) -> None:
-        """One bucket holds all postings of its documents, sorted by term, so a
-        search reads the row groups of its terms and sums without a shuffle."""
-        n, columns = self.posting_buckets, [c.split()[0] for c in _POSTINGS.split(", ")]
-        self.spark.sql(f"DROP TABLE IF EXISTS {_table_name(base)}")
-        (
-            postings.select(*columns).repartition(n, "doc_id").sortWithinPartitions("term", "doc_id")
-            .write.mode("overwrite").bucketBy(n, "doc_id").sortBy("term", "doc_id")
-            .option("path", f"{base}/postings").saveAsTable(_table_name(base))
-        )
-
-    def _postings(self, base: str, n_buckets: int) -> DataFrame:
-        """Postings of a version; the session's catalog is told their buckets."""
-        name = _table_name(base)
-        if not self.spark.catalog.tableExists(name):
-            self.spark.sql(
-                f"CREATE TABLE {name} ({_POSTINGS}) USING parquet CLUSTERED BY (doc_id) "
-                f"SORTED BY (term, doc_id) INTO {n_buckets} BUCKETS LOCATION '{base}/postings'")
-        return self.spark.table(name)
-
-    def _docs(self) -> DataFrame:
-        return self.spark.read.schema(_STORED_DOCS).parquet(f"{self.root}/docs")
-
-    def _write_docs(self, rows: DataFrame, batch_id: int) -> None:
-        bucketed = rows.drop("batch_id").withColumn(
-            "doc_bucket", I.doc_bucket("doc_id", self.doc_buckets)
-        )
-        _write_bucketed(bucketed, f"{self.root}/docs/batch_id={batch_id}", "doc_bucket", "doc_id")
-
-    def _write_version(self, index: I.SparseIndex, last_batch: int) -> I.SparseIndex:
-        previous = _latest(self.spark, self.root, _SPARSE_META)
-        version = 1 if previous is None else previous["version"] + 1
-        base = f"{self.root}/versions/{version}"
-        index.vocab.write.mode("overwrite").parquet(f"{base}/vocab")
-        self._write_postings(index.postings, base)
-        p = index.params
-        row = (
-            version, index.n_docs, index.vocab_rows, last_batch, self.posting_buckets,
-            self.doc_buckets, p.max_features, p.min_df, p.max_df, *p.ngram_range,
-            None if p.stop_words is None else list(p.stop_words), p.fallback_analyser,
-        )
-        self.spark.createDataFrame([row], _SPARSE_META).coalesce(1).write.mode(
-            "overwrite"
-        ).json(f"{base}/meta")
-        return self.load()
+    def _rows(self, base: str, docs: DataFrame, counts: DataFrame, vocab: DataFrame,
+              vocab_rows: int, buckets: int) -> DataFrame:
+        """Norm and attributes of every document of a version; made when it is loaded first."""
+        made = json_rows(self.spark, f"{base}/ready", _READY).orderBy("folder").first()
+        if made is None:
+            folder = f"{base}/rows-{uuid.uuid4().hex}"
+            attributes = docs.select(*sparse.DOC_KEY, "entity_id", "doc_type", "date")
+            rows = attributes.repartition(buckets, *sparse.DOC_KEY).join(
+                sparse.norms(counts, vocab, vocab_rows).hint("shuffle_hash"),
+                list(sparse.DOC_KEY), "left")
+            write_bucketed(rows.select(*[c.split()[0] for c in _ROWS.split(", ")]), folder, buckets,
+                           sparse.DOC_KEY, sparse.DOC_KEY)
+            append_json(self.spark, f"{base}/ready", _READY, [(folder,)])
+            made = json_rows(self.spark, f"{base}/ready", _READY).orderBy("folder").first()
+        return read_bucketed(self.spark, [made["folder"]], _ROWS, buckets, sparse.DOC_KEY)
 
 
 class DenseStore:
-    """A stored dense index; vectors are partitioned by cluster."""
+    """A stored dense index; vectors are partitioned by cluster.
+
+    ``docs`` and ``vectors`` hold segments that only grow by new ones; a row of ``meta``
+    lists those of a version and makes it visible.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, doc_buckets: int = DOC_BUCKETS):
+    def __init__(self, spark: SparkSession, root: str, doc_buckets: int | None = None):
         self.spark, self.root, self.doc_buckets = spark, root.rstrip("/"), doc_buckets
 
-    def save(self, index: I.DenseIndex) -> I.DenseIndex:
-        previous = _latest(self.spark, self.root, _DENSE_META)
-        version = 1 if previous is None else previous["version"] + 1
-        base = f"{self.root}/versions/{version}"
-        rows = index.docs.drop("tokens", "doc_bucket")
-        if "metadata" not in rows.columns:
-            rows = rows.withColumn("metadata", F.lit(None).cast("variant"))
-        _write_bucketed(
-            rows.withColumn("doc_bucket", I.doc_bucket("doc_id", self.doc_buckets)),
-            f"{base}/docs", "doc_bucket", "doc_id",
-        )
-        vectors = index.vectors
-        if index.centres is None:
+    def _meta(self, version: int | None = None):
+        rows = json_rows(self.spark, f"{self.root}/meta", _DENSE_META)
+        return latest(rows if version is None else rows.filter(F.col("version") == version),
+                      "version")
+
+    def _write_segment(self, docs: DataFrame, vectors: DataFrame, buckets: int) -> tuple[str, int]:
+        segment = uuid.uuid4().hex
+        docs = _as_stored(docs, _STORED_DOCS).drop("tokens")
+        _write_folders(docs.withColumn("doc_bucket", I.doc_bucket("doc_id", buckets)),
+                       f"{self.root}/docs/segment={segment}", "doc_bucket", "doc_id")
+        if "cluster_id" not in vectors.columns:
             vectors = vectors.withColumn("cluster_id", F.lit(0))
-        _write_bucketed(vectors, f"{base}/vectors", "cluster_id", "doc_id")
+        _write_folders(vectors.select("doc_id", "batch_id", "embedding", "cluster_id"),
+                       f"{self.root}/vectors/segment={segment}", "cluster_id", "doc_id")
+        return segment, self._docs([segment]).count()
+
+    def _docs(self, segments: Sequence[str]) -> DataFrame:
+        schema = T.StructType([f for f in _STORED_DOCS.fields if f.name != "tokens"])
+        return _read_segments(self.spark, f"{self.root}/docs", segments, schema)
+
+    def _vectors(self, segments: Sequence[str]) -> DataFrame:
+        return _read_segments(self.spark, f"{self.root}/vectors", segments, _VECTORS)
+
+    def _publish(self, segments: list[tuple], index: I.DenseIndex, buckets: int) -> int:
+        previous = self._meta()
+        version = 1 if previous is None else previous["version"] + 1
         centres = None if index.centres is None else [
-            [float(x) for x in centre] for centre in index.centres
-        ]
-        row = (version, index.n_vectors, index.dimension, self.doc_buckets, centres)
-        self.spark.createDataFrame([row], _DENSE_META).coalesce(1).write.mode(
-            "overwrite"
-        ).json(f"{base}/meta")
-        return self.load()
+            [float(x) for x in centre] for centre in index.centres]
+        append_json(self.spark, f"{self.root}/meta", _DENSE_META, [(
+            version, index.n_vectors, index.dimension, buckets, centres, segments)])
+        return version
+
+    def save_version(self, index: I.DenseIndex) -> int:
+        size = None
+        if not self.doc_buckets:
+            size = index.docs.agg(F.sum(F.octet_length("content"))).first()[0] or 0
+        buckets = self.doc_buckets or max(-(-size // BUCKET_BYTES), LEAST_BUCKETS)
+        segment = self._write_segment(index.docs, index.vectors, buckets)
+        return self._publish([segment], index, buckets)
 
-    def append(self, docs: DataFrame, vectors: Callable[[DataFrame], DataFrame]) -> I.DenseIndex:
-        """Add the documents (with ``batch_id``) that are not held yet.
+    def save(self, index: I.DenseIndex) -> I.DenseIndex:
+        """Store an index in place of what the store held."""
+        return self.load(self.save_version(index))
+
+    def append_version(self, docs: DataFrame, vectors: Callable[[DataFrame], DataFrame]) -> int:
+        """Add the documents (with ``batch_id``) that are not held yet, as a segment.
 
-        ``vectors`` makes ``doc_id, batch_id, embedding`` for the new documents
-        only. Centres are kept; new vectors go to their nearest cluster. The new
-        version holds the old and the new rows.
+        ``vectors`` makes ``doc_id, batch_id, embedding`` for the new documents only.
+        Centres are kept; new vectors go to their nearest cluster. Nothing that is held is
+        written again, but for segments of one size that have come to ``MERGE``.
         """
         held = self.load()
         if held is None:
             new = written(docs, "new")
-            return self.save(I.build_dense_index(new, vectors(new)))
+            return self.save_version(I.build_dense_index(new, vectors(new)))
+        meta = self._meta()
         new = written(dense.new_vectors(docs, held.docs.select("doc_id", "batch_id")), "new")
         added = I.build_dense_index(new, vectors(new))
         unit = added.vectors
         if held.clustered:
             unit = dense.nearest_clusters(unit, held.centres, 1).withColumn(
                 "cluster_id", F.col("clusters")[0]).drop("clusters")
-        both = written(held.docs.drop("doc_bucket").unionByName(
-            new, allowMissingColumns=True), "docs")
-        rows = written(held.vectors.unionByName(unit, allowMissingColumns=True), "vectors")
-        return self.save(replace(
-            held, docs=both, vectors=rows, n_vectors=held.n_vectors + added.n_vectors,
-            dimension=max(held.dimension, added.dimension), doc_buckets=None))
-
-    def load(self) -> I.DenseIndex | None:
-        meta = _latest(self.spark, self.root, _DENSE_META)
+        segments = [tuple(s) for s in meta["segments"]]
+        segments.append(self._write_segment(new, unit, meta["doc_buckets"]))
+        if names := due_merge(segments):
+            merged = self._write_segment(
+                self._docs(names), self._vectors(names), meta["doc_buckets"])
+            segments = [s for s in segments if s[0] not in names] + [merged]
+        return self._publish(segments, replace(
+            held, n_vectors=held.n_vectors + added.n_vectors,
+            dimension=max(held.dimension, added.dimension)), meta["doc_buckets"])
+
+    def append(self, docs: DataFrame, vectors: Callable[[DataFrame], DataFrame]) -> I.DenseIndex:
+        return self.load(self.append_version(docs, vectors))
+
+    def load(self, version: int | None = None) -> I.DenseIndex | None:
+        """The newest complete version, or the given one; none when there is none yet."""
+        meta = self._meta(version)
         if meta is None:
             return None
-        base = f"{self.root}/versions/{meta['version']}"
-        stored_docs = T.StructType([f for f in _STORED_DOCS.fields if f.name != "tokens"])
-        try:
-            vectors = self.spark.read.schema(_VECTORS).parquet(f"{base}/vectors")
-        except AnalysisException:
-            return None
-        centres = meta["centres"]
+        segments, centres = [s["segment"] for s in meta["segments"]], meta["centres"]
         return I.DenseIndex(
-            docs=self.spark.read.schema(stored_docs).parquet(f"{base}/docs"),
-            vectors=vectors, n_vectors=meta["n_vectors"], dimension=meta["dimension"],
+            docs=self._docs(segments).drop("segment"),
+            vectors=self._vectors(segments).drop("segment"),
+            n_vectors=meta["n_vectors"], dimension=meta["dimension"],
             centres=None if centres is None else np.array(centres),
             doc_buckets=meta["doc_buckets"],
         )
 
 
+class HybridStore:
+    """Both stores under one folder, with one row that publishes a version of each.
+
+    What is written to one store and not to the other stays invisible.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, params: SparseParams = SparseParams(),
+        posting_buckets: int | None = None, doc_buckets: int | None = None, replace: bool = False,
+    ):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.sparse = SparseStore(
+            spark, f"{root}/sparse", params, posting_buckets, doc_buckets, replace)
+        self.dense = DenseStore(spark, f"{root}/dense", doc_buckets)
+
+    def published(self):
+        """The newest pair of versions, or none."""
+        return latest(json_rows(self.spark, f"{self.root}/published", _PUBLISHED), "place")
+
+    def publish(self, sparse_version: int | None, dense_version: int | None) -> None:
+        """Make a pair of versions visible; a side without one keeps the one it has."""
+        last = self.published()
+        if last is not None:
+            sparse_version = last["sparse_version"] if sparse_version is None else sparse_version
+            dense_version = last["dense_version"] if dense_version is None else dense_version
+        append_json(self.spark, f"{self.root}/published", _PUBLISHED, [(
+            0 if last is None else last["place"] + 1, sparse_version, dense_version)])
+
+    def save(self, sparse_index: I.SparseIndex | None, dense_index: I.DenseIndex | None) -> None:
+        """Store both indexes; either part may be missing."""
+        self.publish(
+            None if sparse_index is None else self.sparse.save_version(sparse_index),
+            None if dense_index is None else self.dense.save_version(dense_index))
+
+    def load(self) -> tuple[I.SparseIndex | None, I.DenseIndex | None]:
+        """Each part that is there."""
+        last = self.published()
+        if last is None:
+            return None, None
+        left, right = last["sparse_version"], last["dense_version"]
+        return (None if left is None else self.sparse.load(left),
+                None if right is None else self.dense.load(right))
+
+
 def save_hybrid(
     spark: SparkSession, root: str, sparse_index: I.SparseIndex | None,
-    dense_index: I.DenseIndex | None,
+    dense_index: I.DenseIndex | None, posting_buckets: int | None = None,
+    doc_buckets: int | None = None,
 ) -> None:
     """Store both indexes under one folder; either part may be missing."""
-    if sparse_index is not None:
-        SparseStore(spark, f"{root}/sparse", sparse_index.params).save(sparse_index)
-    if dense_index is not None:
-        DenseStore(spark, f"{root}/dense").save(dense_index)
+    params = SparseParams() if sparse_index is None else sparse_index.params
+    HybridStore(spark, root, params, posting_buckets, doc_buckets).save(sparse_index, dense_index)
 
 
 def load_hybrid(
     spark: SparkSession, root: str
 ) -> tuple[I.SparseIndex | None, I.DenseIndex | None]:
     """Each part that is there."""
-    return SparseStore(spark, f"{root}/sparse").load(), DenseStore(spark, f"{root}/dense").load()
+    return HybridStore(spark, root).load()

@@ -12,7 +12,7 @@ from docsearch.operators import validate
 from docsearch.plans.index import DenseIndex, SparseIndex
 from docsearch.runtime import written
 from docsearch.schema import DOCS
-from docsearch.sources.index_store import DenseStore, SparseStore
+from docsearch.sources.index_store import HybridStore, SparseStore
 
 
 def read_document_stream(
@@ -61,21 +61,25 @@ def add_batch(
 
 
 def add_documents(
-    sparse_store: SparseStore, dense_store: DenseStore, docs: DataFrame, as_of_year: int,
+    store: HybridStore, docs: DataFrame, as_of_year: int,
     vectors: Callable[[DataFrame], DataFrame], key: str | None = None, limit: int | None = None,
     strict: bool = False,
 ) -> tuple[SparseIndex, DenseIndex]:
     """Add one batch to both indexes: validated once, cleaned for keywords, as it came for vectors.
 
     ``vectors`` makes ``doc_id, batch_id, embedding`` of documents; it is asked only for those
-    whose vector is not held. Refused rows are kept as in ``add_batch``.
+    whose vector is not held. Refused rows are kept as in ``add_batch``. Both indexes
+    become searchable together; a failure on the way leaves both as they were, and
+    the batch can come again under its key.
     """
-    batch_id = add_batch(sparse_store, docs, as_of_year, key=key, limit=limit, strict=strict)
-    refused = sparse_store.rejects().filter(F.col("batch_id") == batch_id).select("doc_id")
+    batch_id = add_batch(store.sparse, docs, as_of_year, key=key, limit=limit, strict=strict)
+    refused = store.sparse.rejects().filter(F.col("batch_id") == batch_id).select("doc_id")
     valid = docs.join(refused, docs["doc_id"].eqNullSafe(refused["doc_id"]), "left_anti")
-    index = sparse_store.refresh()
-    return index, dense_store.append(
+    sparse_version = store.sparse.publish()
+    dense_version = store.dense.append_version(
         valid.withColumn("batch_id", F.lit(batch_id).cast("bigint")), vectors)
+    store.publish(sparse_version, dense_version)
+    return store.load()
 
 
 def incremental_ingest(
@@ -103,7 +107,7 @@ def incremental_ingest(
             return
         waiting.append(add_batch(store, batch, as_of_year, key=f"{source}/{epoch}", strict=strict))
         if len(waiting) >= refresh_every:
-            store.refresh()
+            store.publish()
             waiting.clear()
 
     query = (
@@ -115,5 +119,5 @@ def incremental_ingest(
     query.awaitTermination()
     # Also what an earlier run stored and did not get to refresh.
     if waiting or not store.is_current():
-        store.refresh()
+        store.publish()
     return query
