@@ -12,15 +12,18 @@ of that number, goes through a logistic curve fitted on labelled rows that the
 models have not seen.
 
 The classifier is fitted on a bounded sample: up to ``max_docs`` labelled rows of each
-class, as many of both, those with the smallest hash of their doc_id. Sample and model are
-broadcast; both are bounded by it.
+class, those with the smallest hash of their doc_id. Sample and model are broadcast; both
+are bounded by it. Counts of different continuations grow with the sample, so those of the
+larger class are what a sample as large as the smaller one would show on average: a window
+that ``n`` of its texts hold is there with probability ``1 - (1 - rate) ** n``.
 
 Defined results: null and empty texts have no words and get the score of the
 logistic curve at zero. A doc_id labelled more than once is toxic if any of its
 labels is. Labels other than 0 and 1, and null ids, are not learned from. With
 no sample of one of the classes, every score is the share of toxic labels, or 0
 without labels. Repeated rows give repeated rows, an empty table none. Columns
-other than doc_id and text are kept by ``reject`` and ignored otherwise.
+other than doc_id and text are kept, whatever their names; in ``score`` those named like what it
+adds are replaced.
 """
 
 from __future__ import annotations
@@ -106,16 +109,24 @@ def _low_bytes(keys: np.ndarray, n: int) -> np.ndarray:
 class Model:
     """Log ratio of the two models for windows."""
 
-    def __init__(self, windows: np.ndarray, counts: list[np.ndarray]):
-        """``windows`` are different; ``counts`` has the toxic and the ordinary ones."""
-        levels = {ORDER: (windows, counts)}
+    def __init__(self, windows: np.ndarray, counts: list[np.ndarray],
+                 rates: tuple[float, float] = (1.0, 1.0)):
+        """``windows`` are different; ``counts`` has the toxic and the ordinary ones, and
+        ``rates`` the share of each class that makes the two samples equal."""
+        with np.errstate(divide="ignore", invalid="ignore"):
+            # Logarithm of the probability that a window is not in the share of its class.
+            absent = [np.where(x > 0, x * np.log1p(-r), 0.0)
+                      for x, r in zip(counts, rates, strict=True)]
+        levels = {ORDER: (windows, [x * r for x, r in zip(counts, rates, strict=True)])}
         for order in range(ORDER - 1, -1, -1):
             longer, above = levels[order + 1]
             keys, at = np.unique(_low_bytes(longer, order + 1), return_inverse=True)
             # A window that begins at the edge or before it has no other continuation.
             edge = (longer >> np.uint64(8 * (order + 1))) == 0
-            levels[order] = keys, [np.bincount(at, np.where(edge, x, x > 0), minlength=len(keys))
-                                   for x in above]
+            levels[order] = keys, [
+                np.bincount(at, np.where(edge, x, -np.expm1(q)), minlength=len(keys))
+                for x, q in zip(above, absent, strict=True)]
+            absent = [np.bincount(at, np.maximum(q, -1e3), minlength=len(keys)) for q in absent]
         self.grams, self.ratios_of, self.contexts, self.freed = {}, {}, {}, {}
         below = None
         for order in range(ORDER + 1):
@@ -208,10 +219,8 @@ def _sample(labels: DataFrame, learn: Column, max_docs: int) -> tuple[DataFrame,
     ids = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & learn).groupBy(
         "doc_id").agg(F.max("toxic").alias("toxic"))
     sizes = {r["toxic"]: r["count"] for r in ids.groupBy("toxic").count().collect()}
-    # As many of both: continuation counts of samples of different size can't be compared.
-    n = min([max_docs, *sizes.values()])
-    parts = [ids.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-             for c in (0, 1)]
+    parts = [ids.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(
+        max_docs) for c in (0, 1)]
     return C.written(parts[0].union(parts[1]), "sample"), sizes
 
 
@@ -219,11 +228,14 @@ def _fit_model(rows: DataFrame) -> Model:
     """Model from rows of (text, toxic), equal texts once; what is collected is bounded by them."""
     different = rows.groupBy(F.sha2("text", 256).alias("key")).agg(
         F.max("toxic").alias("toxic"), F.first("text").alias("text"))
+    sizes = {r["toxic"]: r["count"] for r in different.groupBy("toxic").count().collect()}
+    least = min(sizes.get(c, 0) for c in (1, 0))
+    rates = tuple(least / sizes[c] if least else 1.0 for c in (1, 0))
     found = different.select("text", "toxic").mapInArrow(
         _counter, "window long, toxic long, ordinary long").groupBy("window").agg(
         F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")).toPandas()
     return Model(found["window"].to_numpy(np.int64).view(np.uint64),
-                 [found[c].to_numpy(float) for c in ("toxic", "ordinary")])
+                 [found[c].to_numpy(float) for c in ("toxic", "ordinary")], rates)
 
 
 def _measurer(model):
@@ -264,33 +276,41 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None,
     return Classifier(model, beta)
 
 
-def _scorer(model, beta: np.ndarray, at: int):
+def _scorer(model, beta: np.ndarray, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            total, telling, n = model.value.ratios(C.binary_values(batch.column(at)))
+            total, telling, n = model.value.ratios(C.binary_values(batch.column(1)))
             score = 1 / (1 + np.exp(-np.clip(_features(total, telling, n) @ beta, -35, 35)))
-            columns = [c for i, c in enumerate(batch.columns) if i != at]
-            names = [c for i, c in enumerate(batch.schema.names) if i != at]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(score), pa.array(total), pa.array(n.astype(np.int64))],
-                names=[*names, "__score", "__log_ratio", "__n_words"])
+                [batch.column(0), pa.array(score), pa.array(total), pa.array(n.astype(np.int64))],
+                names=names)
     return run
 
 
-def score(docs: DataFrame, classifier: Classifier) -> DataFrame:
-    """The columns of ``docs`` with ``__score`` (0 to 1), ``__log_ratio`` and ``__n_words``."""
-    extra = [T.StructField("__score", T.DoubleType()), T.StructField("__log_ratio", T.DoubleType()),
-             T.StructField("__n_words", T.LongType())]
+_ADDED = T.StructType([
+    T.StructField("__score", T.DoubleType()), T.StructField("__log_ratio", T.DoubleType()),
+    T.StructField("__n_words", T.LongType())])
+
+
+def _scored(docs: DataFrame, classifier: Classifier) -> DataFrame:
+    """``caller``, a struct of all columns of ``docs``, and what ``score`` adds."""
+    caller = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("caller")
     if classifier.model is None:
-        return docs.withColumns({
-            "__score": F.lit(classifier.constant), "__log_ratio": F.lit(0.0),
-            "__n_words": F.lit(None).cast("long")})
-    wanted = C.small_batches(docs).withColumn("__bytes", C.text_bytes())
-    schema = T.StructType([*docs.schema.fields, *extra])
+        return docs.select(caller, F.lit(classifier.constant).alias("__score"),
+                           F.lit(0.0).alias("__log_ratio"),
+                           F.lit(None).cast("long").alias("__n_words"))
+    wanted = C.small_batches(docs).select(caller, C.text_bytes())
     model = docs.sparkSession.sparkContext.broadcast(classifier.model)
-    return wanted.mapInArrow(_scorer(model, classifier.beta, len(docs.columns)), schema)
+    schema = T.StructType([wanted.schema["caller"], *_ADDED.fields])
+    return wanted.mapInArrow(_scorer(model, classifier.beta, schema.names), schema)
+
+
+def score(docs: DataFrame, classifier: Classifier) -> DataFrame:
+    """The columns of ``docs`` with ``__score`` (0 to 1), ``__log_ratio`` and ``__n_words``."""
+    mine = [F.col(f"caller.`{c}`") for c in docs.columns if c.lower() not in _ADDED.names]
+    return _scored(docs, classifier).select(*mine, *_ADDED.names)
 
 
 def reject(docs: DataFrame, classifier: Classifier, threshold: float = 0.5) -> DataFrame:
     """The columns of ``docs`` without the rows that score at or above the threshold."""
-    return score(docs, classifier).filter(F.col("__score") < threshold).select(*docs.columns)
+    return _scored(docs, classifier).filter(F.col("__score") < threshold).select("caller.*")
