@@ -1,8 +1,9 @@
 """Benchmark decontamination: a BM25 index of test items, queried with every passage.
 
-Every document is cut into overlapping passages, so long and so close that any
-stretch as long as the longest item lies in one. A passage is a query of its
-different words against an inverted index of the items. Impacts are BM25 weights
+Items are put in classes of length, by powers of two. For each class every document is
+cut into overlapping passages, so long and so close that any stretch as long as the longest
+item that the class can hold lies in one. So the passages of an item follow from its own length
+and not from what else is in the table. A passage is a query of its different words against an inverted index of the items. Impacts are BM25 weights
 divided by the item's own sum of weights: an item that a passage holds in full
 scores 1, and all items at or above ``threshold`` are retrieved.
 
@@ -13,13 +14,14 @@ A (passage, block) pair is opened only if the block maxima of its rare words
 plus the largest rest of the block reach the threshold; all else is skipped
 unread. Opened blocks are scored in full. No item at or above the threshold is lost.
 
-A retrieved item is reported if its question and its answer both overlap the
-passage: the share of their words inside runs of ``RUN`` or more words that the
-passage has too is at least ``overlap``. The answer is the last line, else the
+A retrieved item is reported if its question and its answer both overlap one span of the
+passage of twice the item's length: the share of their words inside runs of ``RUN`` or more
+words that the span has too is at least ``overlap``. The answer is the last line, else the
 last sentence; an item of one sentence has only a question.
 
 The items are read in groups of ``ITEM_BYTES`` of text, each broadcast in turn;
-document frequencies cover all items.
+document frequencies cover all items, so other items move a score as far as they move the
+idf of its words, and nothing else.
 
 Defined results: items without words are never found, documents without words
 find none. Null and empty texts are kept by ``remove``. Repeated rows and items
@@ -62,6 +64,11 @@ def _hashes(text: str) -> np.ndarray:
     return found[0] if found else np.zeros(0, np.uint64)
 
 
+def step_of(length: int) -> int:
+    """Words between the passages for an item: the longest item of its class."""
+    return max(_SHORTEST, 1 << max(length - 1, 0).bit_length())
+
+
 def question_and_answer(text: str) -> tuple[str, str]:
     """The last line is the answer, else the last sentence; one sentence is all question."""
     text = text.strip()
@@ -84,7 +91,7 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class ItemIndex:
-    """Inverted index of one group of items with block maxima."""
+    """Inverted index of items of one class of length with block maxima."""
 
     def __init__(self, items: list[tuple], frequency: dict[int, int], n_items: int,
                  mean_length: float, threshold: float, overlap: float):
@@ -97,7 +104,7 @@ class ItemIndex:
                 self.ids.append(item_id)
                 self.words.append(np.concatenate(parts))
                 self.split.append(len(parts[0]))
-        self.longest = max([_SHORTEST, *map(len, self.words)])
+        self.step = step_of(max([0, *map(len, self.words)]))
         rows = []
         for i, words in enumerate(self.words):
             different, tf = np.unique(words, return_counts=True)
@@ -179,40 +186,68 @@ class ItemIndex:
             out.append(float((np.cumsum(covered)[:-1] > 0).mean()))
         return out[0], out[1]
 
+    def best_overlap(self, item: int, passage: np.ndarray) -> tuple[float, float]:
+        """The overlaps with a span of twice the item's words: any stretch as long as the item
+        lies in one of those that are tried."""
+        n = max(len(self.words[item]), RUN)
+        begins = range(0, max(len(passage) - n, 1), n)
+        return max((self.overlaps(item, passage[b:b + 2 * n]) for b in begins), key=min)
+
+    def find_in(self, words: np.ndarray, owner: np.ndarray, counts: np.ndarray):
+        """(text, item, score, overlaps, first word) of the verified passages of a block of
+        texts, whose words are given with the text of each and their number in each."""
+        step = self.step
+        first_word = np.cumsum(counts) - counts
+        n_passages = np.maximum(-(-counts // step) - 1, 1)
+        first_passage = np.cumsum(n_passages) - n_passages
+        term = self.terms.find(words)
+        known = np.flatnonzero(term >= 0)
+        # Each word lies in the passage that begins in its stride and in the one before.
+        stride = (known - first_word[owner[known]]) // step
+        where, what = [], []
+        for back in (0, 1):
+            ok = (stride >= back) & (stride - back < n_passages[owner[known]])
+            where.append(first_passage[owner[known]][ok] + stride[ok] - back)
+            what.append(term[known][ok])
+        n_terms = len(self.terms.keys)
+        pairs = np.unique(np.concatenate(where) * n_terms + np.concatenate(what))
+        found = self.search(pairs // n_terms, pairs % n_terms)
+        for passage, item, score in zip(*(x.tolist() for x in found), strict=True):
+            text = int(np.searchsorted(first_passage, passage, side="right")) - 1
+            begin = (passage - first_passage[text]) * step
+            end = min(begin + 2 * step, counts[text])
+            span = words[first_word[text] + begin:first_word[text] + end]
+            asked, answered = self.best_overlap(item, span)
+            if min(asked, answered) >= self.overlap - 1e-9:
+                yield text, item, score, asked, answered, int(begin)
+
+
+class ItemGroup:
+    """The indexes of a group of items, one for each class of length."""
+
+    def __init__(self, items: list[tuple], *options):
+        classes: dict[int, list[tuple]] = {}
+        for item in items:
+            n = len(_hashes(item[1] or ""))
+            if n:
+                classes.setdefault(step_of(n), []).append(item)
+        self.indexes = [ItemIndex(classes[step], *options) for step in sorted(classes)]
+        self.ids = [i for index in self.indexes for i in index.ids]
+
     def find(self, texts: list[bytes]) -> dict[tuple[int, int], tuple]:
-        """Best verified passage of each (text, item): score, overlaps, first word."""
+        """Best verified passage of each (text, place in ``ids``): score, overlaps, first word."""
         best: dict[tuple[int, int], tuple] = {}
-        step = self.longest
         for lo, hi, data, starts, ends, owner in C.word_blocks(texts, _REWRITE):
-            if not len(starts) or not self.ids:
+            if not len(starts):
                 continue
-            words = C.span_hashes(data, starts, ends)
-            counts = C.per_text(owner, hi - lo)
-            first_word = np.cumsum(counts) - counts
-            n_passages = np.maximum(-(-counts // step) - 1, 1)
-            first_passage = np.cumsum(n_passages) - n_passages
-            term = self.terms.find(words)
-            known = np.flatnonzero(term >= 0)
-            # Each word lies in the passage that begins in its stride and in the one before.
-            stride = (known - first_word[owner[known]]) // step
-            where, what = [], []
-            for back in (0, 1):
-                ok = (stride >= back) & (stride - back < n_passages[owner[known]])
-                where.append(first_passage[owner[known]][ok] + stride[ok] - back)
-                what.append(term[known][ok])
-            n_terms = len(self.terms.keys)
-            pairs = np.unique(np.concatenate(where) * n_terms + np.concatenate(what))
-            found = self.search(pairs // n_terms, pairs % n_terms)
-            for passage, item, score in zip(*(x.tolist() for x in found), strict=True):
-                text = int(np.searchsorted(first_passage, passage, side="right")) - 1
-                begin = (passage - first_passage[text]) * step
-                end = min(begin + 2 * step, counts[text])
-                span = words[first_word[text] + begin:first_word[text] + end]
-                asked, answered = self.overlaps(item, span)
-                key = lo + text, item
-                if min(asked, answered) >= self.overlap - 1e-9 and (
-                        key not in best or score > best[key][0] + 1e-12):
-                    best[key] = score, asked, answered, int(begin)
+            words, counts = C.span_hashes(data, starts, ends), C.per_text(owner, hi - lo)
+            before = 0
+            for index in self.indexes:
+                for text, item, *found in index.find_in(words, owner, counts):
+                    key = lo + text, before + item
+                    if key not in best or found[0] > best[key][0] + 1e-12:
+                        best[key] = tuple(found)
+                before += len(index.ids)
         return best
 
 
@@ -234,7 +269,7 @@ def _indexes(items: DataFrame, threshold: float, overlap: float) -> Iterator:
         frequency = {r["word"] & (1 << 64) - 1: r["df"]
                      for r in words.join(mine, "word", "left_semi").collect()}
         rows.sort(key=lambda r: (r[0] is None, r))
-        yield spark.sparkContext.broadcast(ItemIndex(
+        yield spark.sparkContext.broadcast(ItemGroup(
             rows, frequency, n_items, length / max(n_items, 1), threshold, overlap))
 
 
