@@ -20,6 +20,7 @@ rows. Repeated rows are scanned each. Empty tables give no rows. Other columns a
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -155,11 +156,16 @@ class TemplateIndex:
                     matches.append((got[0], got[0] / len(self.words[t]), self.names[t],
                                     got[1], got[2]))
         matches.sort(key=lambda m: (-m[0], -m[1], m[2], m[3]))
+        # What is kept does not overlap, so only the neighbours by first word can be in the way.
+        begins: list[int] = []
         kept: list[tuple] = []
         for match in matches:
-            if all(match[4] <= k[3] or match[3] >= k[4] for k in kept):
-                kept.append(match)
-        return sorted(kept, key=lambda m: m[3])
+            at = bisect.bisect_right(begins, match[3])
+            if (at and kept[at - 1][4] > match[3]) or (at < len(kept) and kept[at][3] < match[4]):
+                continue
+            begins.insert(at, match[3])
+            kept.insert(at, match)
+        return kept
 
 
 def _scanner(index):

@@ -226,10 +226,11 @@ def _few(df: DataFrame, rows: int) -> DataFrame:
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The columns of ``docs``, every row as often as the mix takes it."""
-    numbered = C.written(docs.select("*", F.monotonically_increasing_id().alias("__row")),
-                         "numbered")
-    taken = copies(numbered.select(F.col("__row").alias("row"), "doc_id", "source",
-                                   n_words().alias("size")), **options)
-    many = taken.select(F.col("row").alias("__row"), "copies").filter("copies > 0")
-    return numbered.join(many, "__row").withColumn(
-        "__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    caller = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("caller")
+    numbered = C.written(
+        docs.select(caller, F.monotonically_increasing_id().alias("row")), "numbered")
+    taken = copies(numbered.select("row", "caller.doc_id", "caller.source", "caller.text").select(
+        "row", "doc_id", "source", n_words().alias("size")), **options)
+    many = taken.select("row", "copies").filter("copies > 0")
+    return numbered.join(many, "row").select(
+        "caller", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("caller.*")

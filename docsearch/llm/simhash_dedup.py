@@ -150,11 +150,13 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     """
     if not docs.columns:
         return docs
-    numbered = written(docs.select("*", F.monotonically_increasing_id().alias("__row")), "numbered")
+    caller = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("caller")
+    numbered = written(
+        docs.select(caller, F.monotonically_increasing_id().alias("row")), "numbered")
     found = written(
-        components(numbered.select("doc_id", "text", F.col("__row").alias("row")), shingle, radius),
+        components(numbered.select("caller.doc_id", "caller.text", "row"), shingle, radius),
         "components")
     first = found.groupBy("label").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
-    keep = first.select(F.col("first.row").alias("__row"))
-    return numbered.join(keep, "__row", "left_semi").select(*docs.columns)
+    keep = first.select("first.row")
+    return numbered.join(keep, "row", "left_semi").select("caller.*")

@@ -313,8 +313,19 @@ def cut(docs: DataFrame, window: int = WINDOW, verbatim: bool = False,
     """The columns of ``docs`` but the text, with ``n_words``, ``n_removed`` and ``kept``.
 
     ``kept`` (binary) has the remaining words joined by single spaces, or with
-    ``verbatim`` the text itself where nothing is removed.
+    ``verbatim`` the text itself where nothing is removed. Columns of ``docs`` that are
+    named like what is added are replaced.
     """
+    added = ("n_words", "n_removed", "kept")
+    others = [c for c in docs.columns if c.lower() != "text"]
+    doc = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others])
+    found = _cut(docs.select(doc.alias("doc"), "text"), window, verbatim, hot, chunk_bytes)
+    return found.select(
+        *[F.col(f"doc.`{c}`") for c in others if c.lower() not in added], *added)
+
+
+def _cut(docs: DataFrame, window: int, verbatim: bool, hot: int, chunk_bytes: int) -> DataFrame:
+    """``cut`` of rows of ``doc`` and ``text``."""
     if not GRAM < window <= 63:
         raise ValueError(f"window must be above {GRAM} and at most 63 words")
     spark = docs.sparkSession
@@ -337,7 +348,7 @@ def cut(docs: DataFrame, window: int = WINDOW, verbatim: bool = False,
         "chunk", "key", F.lit(0).cast("long").alias("mask"))
     report = C.written(shards.union(hot_windows), "report")
     schema = T.StructType([
-        *docs.drop("text").schema.fields, T.StructField("n_words", T.LongType()),
+        *chunks.drop("chunk", "row", "text").schema.fields, T.StructField("n_words", T.LongType()),
         T.StructField("n_removed", T.LongType()), T.StructField("kept", T.BinaryType())])
     return C.per_chunk(chunks, report, _cutter(window, verbatim), schema)
 
@@ -348,15 +359,17 @@ def strip(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     Texts without such stretches stay as they are, null texts too. A text that
     loses all its words goes. ``n_chars`` follows the text where it is there.
     """
-    others = [F.col(c) for c in docs.columns if c != "text"]
-    rows = docs.select(F.struct(*others).alias("doc"), F.col("text").isNull().alias("none"), "text")
-    kept = cut(rows, window, verbatim=True).filter("n_removed = 0 or n_removed < n_words")
-    text = F.when(F.col("none"), F.lit(None)).otherwise(F.col("kept").cast("string"))
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(F.struct(F.lit(0).alias("_"), *others).alias("row"), F.col(
+        "text").isNull().alias("none")).alias("doc"), "text")
+    kept = _cut(rows, window, True, HOT, C.CHUNK_BYTES).filter(
+        "n_removed = 0 or n_removed < n_words")
+    text = F.when(F.col("doc.none"), F.lit(None)).otherwise(F.col("kept").cast("string"))
 
     def column(name: str) -> Column:
         if name == "text":
             return text.alias(name)
-        value = F.col("doc")[name]
+        value = F.col(f"doc.row.`{name}`")
         if name == "n_chars":
             value = F.when(F.col("n_removed") == 0, value).otherwise(F.length(text)).cast(
                 docs.schema[name].dataType)
