@@ -1,7 +1,7 @@
 """SQL for the registered queries: common table expressions and how they join up.
 
-Patterns are written for the SQL engine's own regular expressions and share no
-text with the Spark side.
+Patterns are written for the SQL engine's own regular expressions; those without anything of an engine in
+them, as for amounts and dates, are spelled as on the Spark side.
 """
 
 from __future__ import annotations
