@@ -5,8 +5,9 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from checks import settings as S
 from checks import tables as T
-from checks.oracle import MAX, RRF, WEIGHTED, clean, fused, inner, query_table, sql, unit
+from checks.oracle import MAX, RRF, WEIGHTED, clean, fused, inner, query_table, sql, unit, words
 from checks.registry import query
 from docsearch import fixed_values as V
 from docsearch.operators import dense, fusion, sparse
@@ -39,18 +40,21 @@ def prune_vocabulary(spark, sf_dir):
     return sparse.prune_vocabulary(freq, docs.count(), T.PARAMS)
 
 
-@query("vocab_params", """SELECT source, lang, n_docs,
-    CAST(CASE WHEN n_docs < 5 THEN 1.0 ELSE 0.95 END AS DOUBLE) AS max_df
+@query("vocab_params", f"""SELECT source, lang, n_docs,
+    CASE WHEN n_docs < 20 THEN 1 ELSE {V.MIN_DF} END AS min_df,
+    CAST(CASE WHEN n_docs < 5 THEN 1.0 ELSE {V.MAX_DF} END AS DOUBLE) AS max_df
     FROM (SELECT source, lang, count(*) AS n_docs FROM documents GROUP BY 1, 2)""")
 def vocab_params(spark, sf_dir):
+    """The rule at every size that a source has in a language."""
     groups = T.table(spark, sf_dir, "documents").groupBy("source", "lang").agg(
         F.count("*").alias("n_docs")
     )
-    return groups.withColumn("max_df", F.when(
-        F.col("n_docs") < 5, F.lit(T.PARAMS.for_corpus(4).max_df)
-    ).when(
-        F.col("n_docs") < 20, F.lit(T.PARAMS.for_corpus(19).max_df)
-    ).otherwise(F.lit(T.PARAMS.for_corpus(20).max_df)))
+    sizes = [r["n_docs"] for r in groups.select("n_docs").distinct().collect()]
+    fitted = [(n, T.PARAMS.for_corpus(n)) for n in sizes]
+    bounds = spark.createDataFrame(
+        [(n, p.min_df, p.max_df) for n, p in fitted], "n_docs bigint, min_df int, max_df double")
+    return groups.join(F.broadcast(bounds), "n_docs").select(
+        "source", "lang", "n_docs", "min_df", "max_df")
 
 
 # The word of a customer name is in every name, so the default bounds leave no
@@ -65,6 +69,26 @@ def vocab_fallback(spark, sf_dir):
     return index.vocab.select("term", "df", "ctf", F.round("idf", 6).alias("idf"))
 
 
+# Texts of stop words only: neither the default bounds nor the permissive ones leave a
+# term, so the simplest analyser is used.
+@query("vocab_last_resort", f"""WITH kept AS (SELECT doc_id, list_filter(
+        string_split(lower(text), ' '), lambda w: w IN ({words(S.STOP_WORDS)})) AS t FROM documents),
+    filled AS (SELECT * FROM kept WHERE len(t) > 0),
+    n AS (SELECT count(*) AS n FROM filled),
+    found AS (SELECT term, count(DISTINCT doc_id) AS df, count(*) AS ctf FROM (
+        SELECT doc_id, unnest(t) AS term FROM filled) WHERE length(term) > 1 GROUP BY term)
+    SELECT term, df, ctf, round(ln((1.0 + n) / (1.0 + df)) + 1, 6) AS idf FROM found, n
+    ORDER BY ctf DESC, term LIMIT {V.FALLBACK_MAX_FEATURES}""")
+def vocab_last_resort(spark, sf_dir):
+    stops = F.array(*[F.lit(w) for w in S.STOP_WORDS])
+    docs = T.documents(spark, sf_dir).withColumn("content", F.array_join(F.filter(
+        F.split(F.lower("content"), " "), lambda w: F.array_contains(stops, w)), " "))
+    index = I.build_sparse_index(docs, T.PARAMS)
+    if not index.params.fallback_analyser:
+        raise AssertionError("the simplest analyser was not used")
+    return index.vocab.select("term", "df", "ctf", F.round("idf", 6).alias("idf"))
+
+
 @query("idf", sql(("freq", "n"), """SELECT term, df,
     round(ln((1.0 + n) / (1.0 + df)) + 1, 6) AS idf FROM freq, n"""))
 def idf(spark, sf_dir):
@@ -191,16 +215,49 @@ def exact_knn(spark, sf_dir):
     ))
 
 
-@query("ivf_knn")
+PROBES = 5
+# Distances to centres, less the square of the vector, which is the same for all of them.
+_NEAR = f"""{_LABELS},
+centre_values AS (SELECT label, d, avg(CAST(e[d] AS DOUBLE)) AS v FROM (
+    SELECT b.label, v.e, unnest(range(1, len(v.e) + 1)) AS d
+    FROM embeddings b JOIN vectors v ON v.doc_id = CAST(b.vec_id AS VARCHAR)) GROUP BY ALL),
+centres AS MATERIALIZED (SELECT label, list(v ORDER BY d) AS c FROM centre_values GROUP BY label),
+assigned AS MATERIALIZED (SELECT doc_id, arg_min(label, gap) AS cluster FROM (
+    SELECT doc_id, label, list_inner_product(c, c) - 2 * {inner("e", "c")} AS gap
+    FROM vectors, centres) GROUP BY doc_id),
+probed AS (SELECT query_id, label AS cluster FROM (SELECT query_id, label, row_number() OVER (
+    PARTITION BY query_id ORDER BY list_inner_product(c, c) - 2 * {inner("qe", "c")}, label) AS p
+    FROM label_queries, centres) WHERE p <= {PROBES}),
+near AS (SELECT query_id, doc_id, score, row_number() OVER (
+    PARTITION BY query_id ORDER BY score DESC, doc_id) AS position
+    FROM label_scored JOIN assigned USING (doc_id) JOIN probed USING (query_id, cluster)),
+exact AS (SELECT query_id, doc_id FROM label_scored QUALIFY row_number() OVER (
+    PARTITION BY query_id ORDER BY score DESC, doc_id) <= 10),
+sizes AS (SELECT query_id, count(*) AS n_scored FROM assigned JOIN probed USING (cluster)
+    GROUP BY query_id)"""
+
+
+@query("ivf_knn", sql("vectors", """SELECT n.query_id, n.doc_id, round(n.score, 6) AS score,
+    CAST(n.position AS INTEGER) AS position, e.doc_id IS NOT NULL AS in_exact, z.n_scored
+    FROM near n JOIN sizes z USING (query_id)
+    LEFT JOIN exact e ON e.query_id = n.query_id AND e.doc_id = n.doc_id
+    WHERE n.position <= 10""", _NEAR))
 def ivf_knn(spark, sf_dir):
-    """Clustered search with its recall against the exact search."""
+    """Clustered search around given centres, what of it the exact search finds too, and the
+    number of vectors that met each query."""
     queries, bounds = _label_queries(spark, sf_dir, -1.0, 5), _label_bounds(spark, sf_dir, 5)
-    near = P.dense_hits(T.clustered_index(spark, sf_dir), queries, bounds, n_probe=8)
-    exact = P.dense_hits(T.dense_index(spark, sf_dir), queries, bounds)
-    found = near.select("query_id", "doc_id", F.lit(1).alias("found"))
-    return exact.join(found, ["query_id", "doc_id"], "left").groupBy("query_id").agg(
-        F.count("*").alias("n_exact"), F.count("found").alias("n_found"),
-        F.round(F.count("found") / F.count("*"), 4).alias("recall"),
+    index = T.label_centres_index(spark, sf_dir)
+    near = _top(P.dense_hits(index, queries, bounds, n_probe=PROBES))
+    exact = P.dense_hits(index, queries, bounds).select(
+        "query_id", "doc_id", F.lit(True).alias("in_exact"))
+    probed = dense.nearest_clusters(
+        dense.normalise_vectors(queries).select("query_id", "embedding"), index.centres, PROBES)
+    met = probed.select("query_id", F.explode("clusters").alias("cluster_id")).join(
+        index.vectors.groupBy("cluster_id").agg(F.count("*").alias("n")), "cluster_id")
+    return (
+        near.join(exact, ["query_id", "doc_id"], "left")
+        .join(met.groupBy("query_id").agg(F.sum("n").alias("n_scored")), "query_id")
+        .withColumn("in_exact", F.coalesce("in_exact", F.lit(False)))
     )
 
 
@@ -274,16 +331,9 @@ def _both(spark, sf_dir):
     return left, right
 
 
-# Queries that have a vector.
-VECTOR_QUERIES = query_table().replace(
-    "FROM benchmark)", "FROM benchmark WHERE item_id IN (SELECT vec_id FROM embeddings))"
-)
-
-
 @query("fusion_join", sql("fusion", """SELECT query_id, doc_id,
     round(sparse_score, 6) AS sparse_score, CAST(sparse_rank AS INTEGER) AS sparse_rank,
-    round(dense_score, 6) AS dense_score, CAST(dense_rank AS INTEGER) AS dense_rank FROM fusion""",
-    queries=VECTOR_QUERIES))
+    round(dense_score, 6) AS dense_score, CAST(dense_rank AS INTEGER) AS dense_rank FROM fusion"""))
 def fusion_join(spark, sf_dir):
     return fusion.fusion_join(*_both(spark, sf_dir)).select(
         "query_id", "doc_id", F.round("sparse_score", 6).alias("sparse_score"), "sparse_rank",
@@ -291,8 +341,7 @@ def fusion_join(spark, sf_dir):
     )
 
 
-@query("union_candidates", sql("fusion", "SELECT DISTINCT query_id, doc_id FROM fusion",
-                               queries=VECTOR_QUERIES))
+@query("union_candidates", sql("fusion", "SELECT DISTINCT query_id, doc_id FROM fusion"))
 def union_candidates(spark, sf_dir):
     return fusion.union_candidates(*_both(spark, sf_dir))
 
@@ -300,8 +349,7 @@ def union_candidates(spark, sf_dir):
 @query("rank_positions", sql(("sparse_wide", "dense_wide"), """
     SELECT 'sparse' AS side, query_id, doc_id, CAST(position AS INTEGER) AS position
     FROM sparse_wide
-    UNION ALL SELECT 'dense', query_id, doc_id, CAST(position AS INTEGER) FROM dense_wide""",
-    queries=VECTOR_QUERIES))
+    UNION ALL SELECT 'dense', query_id, doc_id, CAST(position AS INTEGER) FROM dense_wide"""))
 def rank_positions(spark, sf_dir):
     left, right = _both(spark, sf_dir)
     return left.select(F.lit("sparse").alias("side"), "query_id", "doc_id", "position").unionByName(
@@ -311,7 +359,7 @@ def rank_positions(spark, sf_dir):
 
 def _fusion(name, method, score):
     @query(name, sql("fusion", "SELECT query_id, doc_id, round(score, 6) AS score, in_sparse "
-                               "FROM fused", fused(score), queries=VECTOR_QUERIES))
+                               "FROM fused", fused(score)))
     def run(spark, sf_dir):
         return fusion.fuse(*_both(spark, sf_dir), method).select(
             "query_id", "doc_id", F.round("score", 6).alias("score"), "in_sparse"
@@ -325,8 +373,7 @@ _fusion("fuse_rrf", "rank_fusion", RRF)
 
 
 @query("topk_hybrid", sql("fusion", "SELECT query_id, doc_id, round(score, 6) AS score, "
-       "CAST(position AS INTEGER) AS position FROM hybrid_top", fused(WEIGHTED),
-       queries=VECTOR_QUERIES))
+       "CAST(position AS INTEGER) AS position FROM hybrid_top", fused(WEIGHTED)))
 def topk_hybrid(spark, sf_dir):
     queries = T.with_vectors(T.benchmark_queries(spark, sf_dir), spark, sf_dir)
     return _top(P.hybrid_hits(

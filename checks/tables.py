@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import settings as S
 from docsearch import fixed_values as V
+from docsearch.operators import dense
 from docsearch.plans import index as I
 from docsearch.runtime import new_folder
 from docsearch.schema import SparseParams
@@ -67,11 +68,11 @@ def benchmark_queries(
 
 
 def with_vectors(queries: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Query vectors: the embedding whose number is that of the query."""
+    """Query vectors: the embedding whose number is that of the query, if there is one."""
     vectors = table(spark, sf_dir, "embeddings").select(
         _string("vec_id").alias("query_id"), "embedding"
     )
-    return queries.join(vectors, "query_id")
+    return queries.join(vectors, "query_id", "left")
 
 
 def label_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,6 +142,16 @@ def dense_index(spark: SparkSession, sf_dir: str) -> I.DenseIndex:
     return _once(spark, sf_dir, "dense", build)
 
 
+def label_centres_index(spark: SparkSession, sf_dir: str) -> I.DenseIndex:
+    """Stored vectors in clusters around given centres: the mean vector of each label."""
+    def build():
+        centres = dense.centres_of_groups(table(spark, sf_dir, "embeddings"), "label")
+        store = DenseStore(spark, new_folder(spark, "by_label"))
+        return store.save(I.build_dense_index(
+            documents(spark, sf_dir), vectors(spark, sf_dir), centres=centres))
+    return _once(spark, sf_dir, "by_label", build)
+
+
 def clustered_index(spark: SparkSession, sf_dir: str, n_clusters: int = 16) -> I.DenseIndex:
     def build():
         store = DenseStore(spark, new_folder(spark, "clustered"))

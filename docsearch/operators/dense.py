@@ -12,6 +12,7 @@ from collections.abc import Callable
 import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, predict_batch_udf
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,13 +21,12 @@ from docsearch import fixed_values as V
 from docsearch.functions import text as X
 from docsearch.functions.vectors import normalise
 from docsearch.operators import kernels
+from docsearch.runtime import new_folder
 
-# A query matrix of up to this many rows is sent to every task; a larger one
-# is joined in cells.
+# About so many query vectors are sent to every task at a time.
 QUERIES_IN_MEMORY = 4_096
-# Largest number of vectors, and of queries, that meet in one cell.
-CELL_VECTORS = 50_000
-CELL_QUERIES = 4_096
+# Given centres are held by the driver and sent to every task.
+MAX_CENTRES = 65_536
 
 
 # --- encoding -----------------------------------------------------------------
@@ -96,34 +96,27 @@ def _score_by_broadcast(
     )
 
 
-def _score_in_cells(vectors: DataFrame, queries: DataFrame, n_vectors: int, n_queries: int) -> DataFrame:
-    """Score two large sides: equal cells of bounded size on both.
+def _in_passes(
+    queries: DataFrame, n_queries: int, score: Callable[[list], DataFrame]
+) -> DataFrame:
+    """Hits of any number of queries, a bounded pass of them at a time.
 
-    Both sides carry ``cluster_id``; queries hold one row per probed cluster.
-    Cells are (cluster, slot of the vectors, block of the queries), so a
-    cluster that holds a third of the vectors is spread over many tasks.
+    Each pass sends its queries to one scan of the vectors, so vectors are
+    never shuffled. When there are several, the hits of each are written before
+    the next begins, and the driver holds the queries of one pass only.
     """
-    slots = max(1, -(-n_vectors // CELL_VECTORS))
-    blocks = max(1, -(-n_queries // CELL_QUERIES))
-    cell = ["cluster_id", "_slot", "_block"]
-
-    def numbers(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = (
-        vectors.select("doc_id", "batch_id", "embedding", "cluster_id")
-        .withColumn("_slot", F.pmod(F.hash("doc_id", "batch_id"), F.lit(slots)))
-        .withColumn("_block", numbers(blocks))
-    )
-    right = (
-        queries.select("query_id", "embedding", "similarity_threshold", "k", "cluster_id")
-        .withColumn("_block", F.pmod(F.hash("query_id"), F.lit(blocks)))
-        .withColumn("_slot", numbers(slots))
-    )
-
-    return left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(
-        kernels.cell_scorer(), kernels.HITS
-    )
+    passes = -(-n_queries // QUERIES_IN_MEMORY)
+    if passes <= 1:
+        return score(queries.collect())
+    spark = queries.sparkSession
+    dealt, found = new_folder(spark, "query_passes"), new_folder(spark, "hits")
+    queries.withColumn("_pass", F.pmod(F.hash("query_id"), F.lit(passes))).write.partitionBy(
+        "_pass").parquet(dealt)
+    for n in range(passes):
+        rows = spark.read.parquet(dealt).filter(F.col("_pass") == n).drop("_pass").collect()
+        if rows or n == 0:
+            score(rows).write.mode("append").parquet(found)
+    return spark.read.schema(kernels.HITS).parquet(found)
 
 
 # --- searches -----------------------------------------------------------------
@@ -135,14 +128,9 @@ def score_dense(vectors: DataFrame, queries: DataFrame, n_queries: int) -> DataF
 
     ``queries`` holds ``query_id, embedding, similarity_threshold, k``.
     """
-    if n_queries <= QUERIES_IN_MEMORY:
-        wanted = ["query_id", "embedding", "similarity_threshold", "k"]
-        return _score_by_broadcast(vectors, queries.select(*wanted).collect(), None)
-    return _score_in_cells(
-        vectors.withColumn("cluster_id", F.lit(0)),
-        queries.withColumn("cluster_id", F.lit(0)),
-        vectors.count(), n_queries,
-    )
+    wanted = queries.select("query_id", "embedding", "similarity_threshold", "k")
+    return _in_passes(
+        wanted, n_queries, lambda rows: _score_by_broadcast(vectors, rows, None))
 
 
 def train_clusters(
@@ -157,6 +145,19 @@ def train_clusters(
     return KMeans(k=n_clusters, seed=seed, featuresCol="features").fit(points)
 
 
+def centres_of_groups(vectors: DataFrame, group: str) -> np.ndarray:
+    """Given centres: the mean of the unit vectors of each group, in order of the group.
+
+    Rows without a group or a vector are left out.
+    """
+    means = vectors.filter(F.col(group).isNotNull() & F.col("embedding").isNotNull()).groupBy(
+        group).agg(Summarizer.mean(array_to_vector(normalise("embedding"))).alias("centre"))
+    rows = means.orderBy(group).limit(MAX_CENTRES + 1).collect()
+    if len(rows) > MAX_CENTRES:
+        raise ValueError(f"more than {MAX_CENTRES} groups to make centres of")
+    return np.array([r["centre"].toArray() for r in rows])
+
+
 def assign_clusters(vectors: DataFrame, model: KMeansModel) -> DataFrame:
     with_features = vectors.withColumn("features", array_to_vector("embedding"))
     return (
@@ -178,14 +179,14 @@ def score_ivf(
     """Scores of the vectors in the clusters nearest to each query.
 
     Only the probed clusters are read; with a table partitioned by
-    ``cluster_id`` the others are never opened.
+    ``cluster_id`` the others are never opened. A vector is multiplied with the
+    queries that probe its cluster, not with all.
     """
     probed = nearest_clusters(queries, centres, n_probe)
-    if n_queries <= QUERIES_IN_MEMORY:
-        rows = probed.collect()
+
+    def score(rows: list) -> DataFrame:
         wanted = sorted({c for r in rows for c in r["clusters"]})
         return _score_by_broadcast(
-            clustered.filter(F.col("cluster_id").isin(*wanted)), rows, len(centres)
-        )
-    per_cluster = probed.withColumn("cluster_id", F.explode("clusters")).drop("clusters")
-    return _score_in_cells(clustered, per_cluster, clustered.count(), n_queries * n_probe)
+            clustered.filter(F.col("cluster_id").isin(*wanted)), rows, len(centres))
+
+    return _in_passes(probed, n_queries, score)

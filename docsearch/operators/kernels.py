@@ -40,29 +40,39 @@ class BestHits:
     """Best rows per query seen by one task, with all ties of the last place.
 
     What is dropped cannot be among the first ``k`` rows of the query overall.
+    Ids stay in Arrow; only those of kept rows are copied. With ``probes`` a
+    cluster's rows meet only the queries that probe the cluster.
     """
 
     def __init__(self, query_ids, matrix, thresholds, ks, probes=None):
         self.query_ids, self.matrix = query_ids, matrix
-        self.thresholds, self.ks, self.probes = thresholds, ks, probes
+        self.ks, self.probes = ks, probes
         self.kept: list[list[tuple]] = [[] for _ in query_ids]
         self.floors = np.array(thresholds, dtype=np.float64)
 
-    def add(self, doc_ids, batch_ids, vectors: np.ndarray, clusters=None) -> None:
-        for start in range(0, len(self.query_ids), _SCORE_BLOCK):
-            stop = min(start + _SCORE_BLOCK, len(self.query_ids))
-            scores = np.round(vectors @ self.matrix[start:stop].T, SCORE_DIGITS)
+    def add(self, doc_ids: pa.Array, batch_ids: pa.Array, vectors: np.ndarray, clusters=None) -> None:
+        if clusters is None:
+            everything = np.arange(len(self.query_ids))
+            self._score(np.arange(len(vectors)), vectors, everything, doc_ids, batch_ids)
+            return
+        order = np.argsort(clusters, kind="stable")
+        for rows in np.split(order, np.flatnonzero(np.diff(clusters[order])) + 1):
+            asked = np.flatnonzero(self.probes[:, clusters[rows[0]]])
+            self._score(rows, vectors[rows], asked, doc_ids, batch_ids)
+
+    def _score(self, rows, vectors, asked, doc_ids, batch_ids) -> None:
+        for start in range(0, len(asked), _SCORE_BLOCK):
+            block = asked[start:start + _SCORE_BLOCK]
+            scores = np.round(vectors @ self.matrix[block].T, SCORE_DIGITS)
             np.minimum(scores, 1.0, out=scores)
-            wanted = scores >= self.floors[start:stop]
-            if clusters is not None:
-                wanted &= self.probes[start:stop].T[clusters]
-            for q in np.flatnonzero(wanted.any(axis=0)):
-                rows = np.flatnonzero(wanted[:, q])
-                self._keep(start + q, rows, scores[rows, q], doc_ids, batch_ids)
+            wanted = scores >= self.floors[block]
+            for at in np.flatnonzero(wanted.any(axis=0)):
+                found = np.flatnonzero(wanted[:, at])
+                self._keep(block[at], rows[found], scores[found, at], doc_ids, batch_ids)
 
     def _keep(self, q, rows, scores, doc_ids, batch_ids) -> None:
-        k = self.ks[q]
-        self.kept[q].append((scores, doc_ids[rows], batch_ids[rows]))
+        k, taken = self.ks[q], pa.array(rows)
+        self.kept[q].append((scores, doc_ids.take(taken), batch_ids.take(taken)))
         held = np.concatenate([part[0] for part in self.kept[q]])
         if len(held) > 4 * k:
             floor = np.partition(held, len(held) - k)[len(held) - k]
@@ -70,34 +80,25 @@ class BestHits:
             keep = held >= floor
             self.kept[q] = [(
                 held[keep],
-                np.concatenate([part[1] for part in self.kept[q]])[keep],
-                np.concatenate([part[2] for part in self.kept[q]])[keep],
+                pa.concat_arrays([part[1] for part in self.kept[q]]).filter(pa.array(keep)),
+                pa.concat_arrays([part[2] for part in self.kept[q]]).filter(pa.array(keep)),
             )]
 
     def table(self) -> pa.Table:
         ids, docs, batches, scores = [], [], [], []
         for query_id, parts in zip(self.query_ids, self.kept):
             for part in parts:
-                ids.extend([query_id] * len(part[0]))
+                ids.append(pa.repeat(pa.scalar(query_id, pa.string()), len(part[0])))
                 scores.append(part[0])
                 docs.append(part[1])
                 batches.append(part[2])
         if not ids:
             return HITS_ARROW.empty_table()
         return pa.table(
-            [pa.array(ids, pa.string()), pa.array(np.concatenate(docs), pa.string()),
-             pa.array(np.concatenate(batches), pa.int64()),
+            [pa.chunked_array(ids), pa.chunked_array(docs), pa.chunked_array(batches),
              pa.array(np.concatenate(scores), pa.float64())],
             schema=HITS_ARROW,
-        )
-
-
-def columns(table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return (
-        np.asarray(table.column("doc_id").to_pylist(), dtype=object),
-        np.asarray(table.column("batch_id").to_pylist(), dtype=np.int64),
-        matrix_of(table.column("embedding")),
-    )
+        ).combine_chunks()
 
 
 def nearest(block: np.ndarray, centres: np.ndarray, n_probe: int) -> np.ndarray:
@@ -112,32 +113,16 @@ def batch_scorer(query_ids, matrix, thresholds, ks, probes):
         best = BestHits(query_ids, matrix, thresholds, ks, probes)
         for batch in batches:
             if batch.num_rows:
-                clusters = None
-                if probes is not None:
-                    clusters = np.asarray(batch.column("cluster_id"))
-                best.add(*columns(batch), clusters)
+                clusters = None if probes is None else np.asarray(batch.column("cluster_id"))
+                best.add(
+                    batch.column("doc_id").cast(pa.string()), batch.column("batch_id"),
+                    matrix_of(batch.column("embedding")), clusters,
+                )
         yield from best.table().to_batches()
 
     return run
 
 
-def cell_scorer():
-    """Function for a cogrouped ``applyInArrow``: one cell of both sides."""
-    def run(vector_cell, query_cell):
-        if vector_cell.num_rows == 0 or query_cell.num_rows == 0:
-            return HITS_ARROW.empty_table()
-        best = BestHits(
-            query_cell.column("query_id").to_pylist(),
-            matrix_of(query_cell.column("embedding")),
-            query_cell.column("similarity_threshold").to_pylist(),
-            query_cell.column("k").to_pylist(),
-        )
-        best.add(*columns(vector_cell))
-        return best.table()
-
-    return run
-
-
 def cluster_prober(centres: np.ndarray, n_probe: int):
     """Function for ``mapInPandas``: add the nearest clusters of each row."""
     def run(frames):

@@ -119,23 +119,31 @@ def build_sparse_index(docs: DataFrame, params: SparseParams = SparseParams()) -
 
 
 def build_dense_index(
-    docs: DataFrame, vectors: DataFrame, n_clusters: int | None = None, seed: int = 0
+    docs: DataFrame, vectors: DataFrame, n_clusters: int | None = None, seed: int = 0,
+    centres: np.ndarray | None = None,
 ) -> DenseIndex:
     """Index given vectors (``doc_id, embedding``) of the documents.
 
     With ``n_clusters`` the vectors are clustered; a table of fewer than twice
-    as many rows stays flat. Documents without a vector are not found by vector.
+    as many rows stays flat. With ``centres`` each vector joins the nearest of them
+    and nothing is trained. Documents without a vector are not found by vector.
     """
+    if n_clusters is not None and centres is not None:
+        raise ValueError("give n_clusters or centres, not both")
     unit = with_batch(vectors).filter("embedding is not null").withColumn(
         "embedding", normalise("embedding"))
     unit = written(unit.select("doc_id", "batch_id", "embedding"), "vectors")
     shape = unit.agg(
         F.count("*").alias("n"), F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("d")
     ).first()
-    centres = None
-    if n_clusters is not None:
+    if centres is not None and len(centres):
+        unit = dense.nearest_clusters(unit, centres, 1).withColumn(
+            "cluster_id", F.col("clusters")[0]).drop("clusters")
+    elif n_clusters is not None:
         model = dense.train_clusters(unit, n_clusters, seed)
         if model is not None:
             unit = dense.assign_clusters(unit, model)
             centres = np.array(model.clusterCenters())
+    if centres is not None and not len(centres):
+        centres = None
     return DenseIndex(with_batch(docs), unit, shape["n"], shape["d"], centres)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from docsearch import fixed_values as V
 from docsearch.functions import text as X
 from docsearch.functions.vectors import normalise
-from docsearch.operators import dense, filters, fusion, sparse, validate
+from docsearch.operators import dense, filters, fusion, sparse, stats, validate
 from docsearch.plans.index import DenseIndex, SparseIndex, doc_bucket, index_from_tokens
 from docsearch.runtime import BROADCAST_ROWS, broadcast_if, written
 from docsearch.schema import QUERIES, REQUEST, SparseParams
@@ -266,6 +266,15 @@ def hydrate_documents(
     )
 
 
+def with_snippets(hits: DataFrame, queries: DataFrame, bounds: QueryBounds) -> DataFrame:
+    """Add the snippet and the matched terms where the document was read."""
+    terms = queries.select("query_id", X.query_terms("text").alias("_terms"))
+    return hits.join(broadcast_if(terms, bounds.n), "query_id").withColumns({
+        "context_snippet": X.context_snippet("content", "_terms"),
+        "matched_terms": X.matched_terms("content", "_terms"),
+    })
+
+
 def present(
     hits: DataFrame, queries: DataFrame, bounds: QueryBounds, mode: str, snippets: bool = True,
 ) -> DataFrame:
@@ -276,11 +285,7 @@ def present(
     """
     shown = ["context_snippet", "matched_terms"] if snippets else []
     if snippets:
-        terms = queries.select("query_id", X.query_terms("text").alias("_terms"))
-        hits = hits.join(broadcast_if(terms, bounds.n), "query_id").withColumns({
-            "context_snippet": X.context_snippet("content", "_terms"),
-            "matched_terms": X.matched_terms("content", "_terms"),
-        })
+        hits = with_snippets(hits, queries, bounds)
     ranked = filters.rank_results(hits.drop("content", "_terms", "doc_bucket"))
     limited = filters.limit_results(validate.check_results(ranked))
     attributes = [c for c in _ATTRIBUTES if c in limited.columns]
@@ -378,6 +383,78 @@ def search(
     raise ValueError(f"unknown search mode: {mode}")
 
 
+# --- modes side by side --------------------------------------------------------
+
+
+def compare_modes(
+    sparse_index: SparseIndex,
+    dense_index: DenseIndex,
+    queries: DataFrame,
+    top: int = 5,
+    method: str = "weighted_sum",
+    sparse_weight: float = V.SPARSE_WEIGHT,
+    dense_weight: float = V.DENSE_WEIGHT,
+    n_probe: int | None = None,
+    make_encoder: Callable[[], Callable] | None = None,
+) -> DataFrame:
+    """Per query and mode: number of results, best scores in order, and ``seconds``.
+
+    Each side is scored once, with the wide lists that fusion needs: a single
+    mode's first rows are the first rows of such a list above the full threshold.
+    Text is read once a side, to check that candidates can be shown. ``seconds`` is the
+    time of the steps that a mode needs, shared by the queries of the batch;
+    a query without results in a mode has no row in it.
+    """
+    queries = with_vectors(validate.accepted_queries(queries), make_encoder)
+    bounds = query_bounds(queries)
+    key = ["query_id", *sparse.DOC_KEY]
+    limits = broadcast_if(
+        queries.select("query_id", "max_results", "similarity_threshold"), bounds.n)
+
+    def timed(name: str, df: DataFrame) -> tuple[DataFrame, float]:
+        started = time.perf_counter()
+        return written(df, name), time.perf_counter() - started
+
+    def side(name: str, index: SparseIndex | DenseIndex, hits: DataFrame):
+        hits, scoring = timed(f"{name}_hits", hits.select(*key, "score", "position"))
+        found = hydrate_documents(
+            hits.join(limits.select("query_id", "max_results"), "query_id"), index, queries, bounds)
+        shown, reading = timed(f"{name}_shown", with_snippets(found, queries, bounds).filter(
+            ~X.is_blank("context_snippet")).select(*key))
+        return hits, shown, scoring + reading
+
+    wide = (V.FUSION_OVERFETCH, V.FUSION_THRESHOLD_SHARE)
+    left, left_shown, left_time = side(
+        "sparse", sparse_index, sparse_hits(sparse_index, queries, bounds, *wide))
+    right, right_shown, right_time = side(
+        "dense", dense_index, dense_hits(dense_index, queries, bounds, *wide, n_probe))
+
+    def alone(hits: DataFrame, shown: DataFrame) -> DataFrame:
+        first = filters.filter_threshold(hits.join(limits, "query_id")).filter(
+            F.col("position") <= F.col("max_results") * V.SEARCH_OVERFETCH)
+        return first.join(shown, key)
+
+    fused = filters.top_per_query(
+        fusion.fuse(left, right, method, sparse_weight, dense_weight).join(limits, "query_id"),
+        V.SEARCH_OVERFETCH, bounds.max_results)
+    both = fused.filter("in_sparse").join(left_shown, key).unionByName(
+        fused.filter("not in_sparse").join(right_shown, key))
+
+    report = None
+    for mode, rows, before in (
+        ("tfidf", alone(left, left_shown), left_time),
+        ("transformer", alone(right, right_shown), right_time),
+        ("hybrid", both, left_time + right_time),
+    ):
+        ranked = filters.limit_results(validate.check_results(filters.rank_results(rows)))
+        results, own = timed(f"{mode}_results", tag_search_mode(
+            ranked.select("query_id", "score", "rank"), mode))
+        part = stats.compare_modes(results, top).withColumn(
+            "seconds", F.lit((before + own) / max(bounds.n, 1)))
+        report = part if report is None else report.unionByName(part)
+    return report
+
+
 # --- search log ---------------------------------------------------------------
 
 

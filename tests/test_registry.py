@@ -21,6 +21,7 @@ QUICK = (
     "search_reloaded_batches", "search_streamed_onto_bulk", "search_hybrid_two_batches",
     "add_documents_hybrid", "ingest_rejects", "incremental_ingest", "save_load_hybrid",
     "check_results", "sparse_index_only", "logged_searches", "prune_vocabulary",
+    "ivf_knn", "compare_modes", "vocab_params", "vocab_last_resort", "search_hybrid_some_vectors",
 )
 # All of them with DOCSEARCH_ALL=1.
 NAMES = sorted(entry.oracle_sql()) if os.environ.get("DOCSEARCH_ALL") else QUICK

@@ -134,14 +134,12 @@ def test_batch_equals_single_queries_and_two_step_cut(spark, sf_dir):
         spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", limit)
 
 
-def test_cells_equal_broadcast(spark, sf_dir, monkeypatch):
+def test_passes_equal_one_scan(spark, sf_dir, monkeypatch):
     index = T.dense_index(spark, sf_dir)
     queries = T.with_vectors(T.benchmark_queries(spark, sf_dir, filtered=False), spark, sf_dir)
     bounds = P.query_bounds(queries)
     small = sorted(map(tuple, P.dense_hits(index, queries, bounds).collect()))
-    monkeypatch.setattr(dense, "QUERIES_IN_MEMORY", 1)
-    monkeypatch.setattr(dense, "CELL_VECTORS", 100)
-    monkeypatch.setattr(dense, "CELL_QUERIES", 7)
+    monkeypatch.setattr(dense, "QUERIES_IN_MEMORY", 7)
     assert sorted(map(tuple, P.dense_hits(index, queries, bounds).collect())) == small
 
 
@@ -151,7 +149,7 @@ def test_probing_every_cluster_is_exact(spark, sf_dir, monkeypatch):
     bounds = P.query_bounds(queries)
     expected = sorted(map(tuple, P.dense_hits(exact, queries, bounds).collect()))
     assert sorted(map(tuple, P.dense_hits(near, queries, bounds, n_probe=16).collect())) == expected
-    monkeypatch.setattr(dense, "QUERIES_IN_MEMORY", 1)
+    monkeypatch.setattr(dense, "QUERIES_IN_MEMORY", 9)
     assert sorted(map(tuple, P.dense_hits(near, queries, bounds, n_probe=16).collect())) == expected
 
 
