@@ -25,6 +25,7 @@ are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +42,6 @@ RADIUS = 7
 PAIR_WEIGHT = 2
 #: Texts of fewer words have byte runs as terms too.
 FEW_WORDS = 16
-_RANGES = 8
 _STEP = 0x9E3779B97F4A7C15
 _SIGNS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float64)
 
@@ -173,24 +173,40 @@ def _editor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["doc_id", *(n for n, _ in _EDITED)])
 
 
+def _at_or_above(falling: list, kind: T.DataType) -> Column:
+    """How many of the falling values are at or above ``doc_id``, by binary search in an
+    array that Spark folds to one literal, so neither plan nor row cost grows with its length."""
+    values = F.from_json(F.lit(json.dumps(falling, default=str)), T.ArrayType(kind))
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.shiftright(at["lo"] + at["hi"], 1)
+        up = (at["lo"] < at["hi"]) & (F.get(values, middle) >= F.col("doc_id"))
+        return F.struct(F.when(up, middle + 1).otherwise(at["lo"]).alias("lo"),
+                        F.when(up, at["hi"]).otherwise(middle).alias("hi"))
+
+    steps = F.array_repeat(F.lit(0), len(falling).bit_length())
+    ends = F.struct(F.lit(0).alias("lo"), F.lit(len(falling)).alias("hi"))
+    return F.aggregate(steps, ends, halve, lambda at: at["lo"])
+
+
 def edited(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``,
     ``near_edited`` and ``near_next`` for every row."""
     spark = C.small_batches(docs).sparkSession
     rows = docs.select("doc_id", "text")
     parts = C.parallelism(spark)
-    shares = [i / (parts * _RANGES) for i in range(1, parts * _RANGES)]
-    cuts = rows.agg(F.percentile_approx("doc_id", shares, 10_000).alias("cuts")).first()["cuts"]
-    cuts = sorted(set(cuts or []))
-    cut_list = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    # Ranges count from the largest ids down; null ids are in the last.
-    above = F.size(F.filter(cut_list, lambda c: c > F.col("doc_id")))
-    ranged = rows.withColumn("range", F.coalesce(above, F.lit(len(cuts))))
-    firsts = sorted((r["range"], r["first"]) for r in ranged.groupBy("range").agg(
-        F.max("doc_id").alias("first")).collect())
+    # Ids alone are dealt to ranges by Spark; the largest id of each bounds it.
+    held = rows.select("doc_id").repartitionByRange(parts, F.col("doc_id").desc_nulls_last()).groupBy(
+        F.spark_partition_id()).agg(F.max("doc_id").alias("first")).collect()
     schema = T.StructType([docs.schema["doc_id"], *(T.StructField(n, t) for n, t in _EDITED)])
-    if not firsts:
+    if not held:
         return spark.createDataFrame([], schema)
+    largest = sorted((r["first"] for r in held if r["first"] is not None), reverse=True)
+    # Ranges count from the largest ids down; null ids are in the last.
+    ranged = rows.withColumn("range", F.when(
+        F.col("doc_id").isNull(), F.lit(max(len(largest) - 1, 0))).otherwise(
+        _at_or_above(largest, docs.schema["doc_id"].dataType) - 1))
+    firsts = list(enumerate(largest or [None]))
     starts = spark.createDataFrame(
         [(r, first, firsts[i - 1][0]) for i, (r, first) in enumerate(firsts)],
         T.StructType([T.StructField("range", T.IntegerType()),
@@ -201,7 +217,7 @@ def edited(docs: DataFrame) -> DataFrame:
         F.array(F.struct("range", F.lit(False).alias("extra")),
                 F.struct(F.col("before").alias("range"), F.lit(True).alias("extra")))).otherwise(
         F.array(F.struct("range", F.lit(False).alias("extra")))))
-    dealt = ranged.select(F.inline("homes"), "doc_id", "text").repartition(
+    dealt = ranged.select(F.inline("homes"), "doc_id", "text").repartitionById(
         parts, "range").sortWithinPartitions(
         "range", "extra", F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_first())
     return dealt.mapInArrow(_editor, schema)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docsearch.llm import (
     common,
     decontamination,
+    fingerprint,
     licenses,
     mixing,
     simhash_dedup,
@@ -145,3 +146,62 @@ def test_many_license_matches_take_no_quadratic_sweep():
     found = index.scan(many)
     assert len(found) == 4_000 and time.time() - began < 30
     assert [m[3] for m in found] == [i * (len(words) + 11) for i in range(4_000)]
+
+
+# --- 9: ranges of ids ------------------------------------------------------------------------------------------
+
+
+def by_next(spark, docs):
+    return {r["doc_id"]: tuple(r) for r in fingerprint.edited(docs).collect()}
+
+
+def test_fingerprints_take_text_ids_and_any_number_of_partitions(spark, sf_dir):
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    few = by_next(spark, docs)
+    padded = docs.withColumn("doc_id", F.lpad(F.col("doc_id").cast("string"), 9, "0"))
+    assert {int(k): v[1:] for k, v in by_next(spark, padded).items()} == {
+        k: v[1:] for k, v in few.items()}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "150")
+        assert by_next(spark, docs) == few
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def plain_votes(text):
+    """Signed votes of words, pairs of words (double) and, in short texts, runs of four bytes."""
+    words = [w.lower() for w in text.encode().split()]
+
+    def hashed(w):
+        data = np.frombuffer(w, np.uint8)
+        return int(common.span_hashes(data, np.array([0]), np.array([len(w)]))[0])
+
+    def mixed(x):
+        return int(common.mix(np.array([x % 2**64], np.uint64))[0])
+
+    step = 0x9E3779B97F4A7C15
+    terms = [(hashed(w), 1) for w in words]
+    terms += [(mixed(hashed(a) * step + hashed(b)), fingerprint.PAIR_WEIGHT)
+              for a, b in zip(words, words[1:])]
+    if len(words) < fingerprint.FEW_WORDS:
+        terms += [(hashed(w[i:i + 4]), 1) for w in words for i in range(len(w))]
+    out = bytearray()
+    for lane in range(fingerprint.LANES):
+        lanes = [(mixed(h + (lane + 1) * step), w) for h, w in terms]
+        for byte in range(8):
+            value = 0
+            for bit in range(7, -1, -1):
+                at = byte * 8 + bit
+                value = value * 2 + (sum(w if h >> at & 1 else -w for h, w in lanes) > 0)
+            out.append(value)
+    return bytes(out).hex()
+
+
+def test_fingerprint_equals_plain_votes(spark, sf_dir):
+    docs = common.table(spark, sf_dir, "documents").filter("doc_id < 40")
+    extra = spark.createDataFrame([(900, "One two"), (901, "Tie"), (902, "")], "doc_id long, text string")
+    rows = docs.select("doc_id", "text").union(extra)
+    texts = {r["doc_id"]: r["text"] or "" for r in rows.collect()}
+    got = {r["doc_id"]: r["fingerprint"] for r in fingerprint.fingerprints(rows).collect()}
+    assert got == {i: plain_votes(t) for i, t in texts.items()}
