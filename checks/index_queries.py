@@ -215,7 +215,7 @@ def exact_knn(spark, sf_dir):
     ))
 
 
-PROBES = 5
+PROBES = 8
 # Distances to centres, less the square of the vector, which is the same for all of them.
 _NEAR = f"""{_LABELS},
 centre_values AS (SELECT label, d, avg(CAST(e[d] AS DOUBLE)) AS v FROM (

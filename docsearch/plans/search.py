@@ -20,6 +20,11 @@ from docsearch.schema import QUERIES, REQUEST, SparseParams
 # Up to this many distinct query terms are pushed to the postings scan.
 PUSHED_TERMS = 2_000
 
+# Up to this many hits are named in the filter of the document scan, in lists that Spark
+# hands to Parquet as they are (longer ones become a range).
+PUSHED_HITS = 200
+_PUSHED_LIST = 10
+
 _FILTERED = ("entity_id", "doc_type", "date")
 _ATTRIBUTES = ("entity_id", "doc_type", "date", "metadata")
 
@@ -246,6 +251,17 @@ def hybrid_hits(
 # --- results ------------------------------------------------------------------
 
 
+def _named(hits: DataFrame) -> Column:
+    """Filter that names the documents of a few hits, and their buckets."""
+    rows = hits.select("doc_id", "doc_bucket").distinct().orderBy("doc_id").collect()
+    ids = [r["doc_id"] for r in rows]
+    named = F.lit(False)
+    for start in range(0, len(ids), _PUSHED_LIST):
+        part = F.col("doc_id").isin(*ids[start:start + _PUSHED_LIST])
+        named = part if start == 0 else named | part
+    return F.col("doc_bucket").isin(*sorted({r["doc_bucket"] for r in rows})) & named
+
+
 def hydrate_documents(
     hits: DataFrame, index: SparseIndex | DenseIndex, queries: DataFrame, bounds: QueryBounds,
     content: bool = True,
@@ -253,11 +269,15 @@ def hydrate_documents(
     """Bring in the documents of the hits that pass their query's filters.
 
     Runs after the cut, so the small hit list is sent to the document table and
-    not the other way round. Without ``content`` no text is read.
+    not the other way round. Without ``content`` no text is read. For a few hits of a
+    stored index the pages that hold them are read, for more the buckets that hold them.
     """
     docs = index.docs if content else index.docs.drop("content")
     if index.doc_buckets:
         hits = hits.withColumn("doc_bucket", doc_bucket("doc_id", index.doc_buckets))
+        if bounds.n * bounds.max_results * V.FUSION_OVERFETCH <= PUSHED_HITS:
+            hits = written(hits, "hits")
+            docs = docs.filter(_named(hits))
     columns = [c for c in (*sparse.DOC_KEY, "doc_bucket", "content", *_ATTRIBUTES)
                if c in docs.columns]
     return filters.query_filter_join(

@@ -52,6 +52,8 @@ from docsearch.sources.bucketed import (
 BUCKET_BYTES = 128 << 20
 LEAST_BUCKETS = 8
 OUTGROWN = 4
+# Rows of a page of stored documents: about what is read for one hit.
+PAGE_ROWS = 64
 # Segments of one size that are merged; sizes are powers of it.
 MERGE = 8
 
@@ -86,12 +88,18 @@ _STORED_DOCS = T.StructType([
 ])
 
 
-def _write_folders(df: DataFrame, path: str, bucket: str, *order: str) -> None:
-    """One folder per bucket. A bucket that is too large for one task is split."""
-    (
-        df.hint("rebalance", bucket).sortWithinPartitions(bucket, *order)
-        .write.partitionBy(bucket).parquet(path)
-    )
+def _write_folders(
+    df: DataFrame, path: str, bucket: str, *order: str, page_rows: int | None = None,
+) -> None:
+    """One folder per bucket. A bucket that is too large for one task is split.
+
+    With ``page_rows`` every column is cut into pages of so many rows, so a reader that
+    asks for few values of the sort column skips the other pages of all columns.
+    """
+    writer = df.hint("rebalance", bucket).sortWithinPartitions(bucket, *order).write
+    if page_rows:
+        writer = writer.option("parquet.page.row.count.limit", page_rows)
+    writer.partitionBy(bucket).parquet(path)
 
 
 def _read_segments(
@@ -234,7 +242,7 @@ class SparseStore:
         _write_folders(
             _as_stored(rows, _STORED_DOCS).withColumn(
                 "doc_bucket", I.doc_bucket("doc_id", doc_buckets)),
-            f"{self.root}/docs/segment={segment}", "doc_bucket", "doc_id")
+            f"{self.root}/docs/segment={segment}", "doc_bucket", "doc_id", page_rows=PAGE_ROWS)
         stored = self._docs([segment])
         tokens = stored.select(*sparse.DOC_KEY, "tokens").repartition(postings, *sparse.DOC_KEY)
         counts = sparse.term_frequency(tokens, ngram_range or self.params.ngram_range)
@@ -460,7 +468,7 @@ class DenseStore:
         segment = uuid.uuid4().hex
         docs = _as_stored(docs, _STORED_DOCS).drop("tokens")
         _write_folders(docs.withColumn("doc_bucket", I.doc_bucket("doc_id", buckets)),
-                       f"{self.root}/docs/segment={segment}", "doc_bucket", "doc_id")
+                       f"{self.root}/docs/segment={segment}", "doc_bucket", "doc_id", page_rows=PAGE_ROWS)
         if "cluster_id" not in vectors.columns:
             vectors = vectors.withColumn("cluster_id", F.lit(0))
         _write_folders(vectors.select("doc_id", "batch_id", "embedding", "cluster_id"),

@@ -12,7 +12,7 @@ from docsearch.plans import search as P
 from docsearch.runtime import new_folder
 from docsearch.schema import SparseParams
 from docsearch.sources import index_store
-from docsearch.sources.index_store import HybridStore, SparseStore, due_merge
+from docsearch.sources.index_store import DenseStore, HybridStore, SparseStore, due_merge
 from docsearch.streaming import ingest
 
 PARAMS = SparseParams(stop_words=("the", "and", "of"))
@@ -174,3 +174,43 @@ def test_zero_thresholds_with_filters_equal_single_queries(spark, sf_dir):
         assert len(mine) == min(60, len(allowed))
         rest = [d for d in allowed if d not in {h[1] for h in mine if h[2] > 0}]
         assert sorted(h[1] for h in mine if h[2] == 0) == rest[:sum(h[2] == 0 for h in mine)]
+
+
+def bytes_read(spark, df):
+    """Rows of ``df`` and the bytes that Hadoop's local file system read for them."""
+    def total():
+        return sum(s.getBytesRead() for s in
+                   spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+    before = total()
+    rows = df.collect()
+    return rows, total() - before
+
+
+def test_bytes_read_follow_the_hits(spark, monkeypatch):
+    """A few hits read their pages, many hits their buckets; the rows are the same."""
+    text = F.concat_ws(" ", *[F.sha2(F.concat(F.col("id"), F.lit(k)).cast("string"), 256)
+                              for k in map(str, range(24))])
+    docs = spark.range(8000).select(
+        F.lpad(F.col("id").cast("string"), 6, "0").alias("doc_id"), text.alias("content"))
+    vectors = docs.select("doc_id", F.array(F.lit(1.0), F.lit(0.0)).cast("array<float>").alias("embedding"))
+    store = DenseStore(spark, new_folder(spark, "pages"), doc_buckets=2)
+    index = store.save(I.build_dense_index(docs, vectors))
+    queries = P.search_text(spark, "any", max_results=5)
+    bounds = P.QueryBounds(1, 5, 1, False)
+    # Hadoop's counters leave out vectored reads.
+    spark.conf.set("parquet.hadoop.vectored.io.enabled", "false")
+
+    def hits(step):
+        return spark.range(0, 8000, step).select(
+            F.lit("q").alias("query_id"), F.lpad(F.col("id").cast("string"), 6, "0").alias("doc_id"),
+            F.lit(0).cast("bigint").alias("batch_id"), F.lit(0.5).alias("score"))
+
+    few, few_bytes = bytes_read(spark, P.hydrate_documents(hits(800), index, queries, bounds))
+    more, more_bytes = bytes_read(spark, P.hydrate_documents(hits(80), index, queries, bounds))
+    monkeypatch.setattr(P, "PUSHED_HITS", 0)
+    whole, whole_bytes = bytes_read(spark, P.hydrate_documents(hits(800), index, queries, bounds))
+    assert len(few) == 10 and len(more) == 100
+    assert sorted(map(str, few)) == sorted(map(str, whole))
+    assert all(r["content"] for r in more)
+    spark.conf.unset("parquet.hadoop.vectored.io.enabled")
+    assert few_bytes * 4 < whole_bytes and few_bytes < more_bytes
