@@ -21,6 +21,8 @@ from docsearch.schema import SparseParams
 
 # Up to this many terms the vocabulary is held by every executor.
 VOCABULARY_IN_MEMORY = 200_000
+# Parts that the counts of one term are dealt to when a large vocabulary is joined.
+_SALTS = 16
 # Scores are rounded so that copies of a document tie whatever the order in
 # which their terms were summed.
 SCORE_DIGITS = 10
@@ -136,7 +138,7 @@ def tfidf_weights(
     """Postings: tf * idf of each (document, term), L2-normalised per document."""
     if vocab_rows <= VOCABULARY_IN_MEMORY:
         return _weigh_in_row(tokenised, vocab, params)
-    return _weigh_by_join(tokenised, vocab, params)
+    return _weigh_by_join(tokenised, vocab, params, vocab_rows)
 
 
 def _weigh_in_row(tokenised: DataFrame, vocab: DataFrame, params: SparseParams) -> DataFrame:
@@ -146,7 +148,7 @@ def _weigh_in_row(tokenised: DataFrame, vocab: DataFrame, params: SparseParams)
     """
     rows = vocab.select("term", "idf").orderBy("term").collect()
     if not rows:
-        return _weigh_by_join(tokenised, vocab, params)
+        return _weigh_by_join(tokenised, vocab, params, 0)
     terms = [r["term"] for r in rows]
     counts = CountVectorizerModel.from_vocabulary(terms, "terms", "tf_vector")
     scale = ElementwiseProduct(
@@ -170,13 +172,26 @@ def _weigh_in_row(tokenised: DataFrame, vocab: DataFrame, params: SparseParams)
     )
 
 
-def _weigh_by_join(tokenised: DataFrame, vocab: DataFrame, params: SparseParams) -> DataFrame:
+def with_term_idf(counts: DataFrame, vocab: DataFrame, vocab_rows: int) -> DataFrame:
+    """Counts of terms with their idf; terms outside the vocabulary vanish.
+
+    A vocabulary above the broadcast bound is joined by term and salt, so that the
+    counts of a term that every document has are spread over many tasks.
+    """
+    idf_of = vocab.select("term", "idf")
+    if vocab_rows <= BROADCAST_ROWS:
+        return counts.join(F.broadcast(idf_of), "term")
+    salted = counts.withColumn("_salt", F.pmod(F.xxhash64(*DOC_KEY), F.lit(_SALTS)).cast("int"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt")
+    return salted.join(idf_of.select("*", salts), ["term", "_salt"]).drop("_salt")
+
+
+def _weigh_by_join(
+    tokenised: DataFrame, vocab: DataFrame, params: SparseParams, vocab_rows: int,
+) -> DataFrame:
     """The vocabulary is large: join it, and normalise over each document."""
-    raw = (
-        term_frequency(tokenised, params.ngram_range)
-        .join(vocab.select("term", "idf"), "term")
-        .withColumn("raw", F.col("tf") * F.col("idf"))
-    )
+    counts = term_frequency(tokenised, params.ngram_range)
+    raw = with_term_idf(counts, vocab, vocab_rows).withColumn("raw", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(*DOC_KEY)))
     return raw.withColumn("weight", F.col("raw") / norm).select(
         "term", *DOC_KEY, "tf", "weight"
@@ -208,14 +223,13 @@ def query_weights(
 def norms(counts: DataFrame, vocab: DataFrame, vocab_rows: int) -> DataFrame:
     """Length of the TF-IDF vector of each document. Stored counts are summed in the bucket."""
     raw = F.col("tf") * F.col("idf")
-    return counts.join(broadcast_if(vocab.select("term", "idf"), vocab_rows), "term").groupBy(
-        *DOC_KEY).agg(F.sqrt(F.sum(raw * raw)).alias("norm"))
+    return with_term_idf(counts, vocab, vocab_rows).groupBy(*DOC_KEY).agg(F.sqrt(F.sum(raw * raw)).alias("norm"))
 
 
 def weighted(counts: DataFrame, rows: DataFrame, vocab: DataFrame, vocab_rows: int) -> DataFrame:
     """Postings with weights, from raw counts and the norms of the documents."""
     return (
-        counts.join(broadcast_if(vocab.select("term", "idf"), vocab_rows), "term")
+        with_term_idf(counts, vocab, vocab_rows)
         .join(rows.select(*DOC_KEY, "norm").hint("shuffle_hash"), list(DOC_KEY))
         .select("term", *DOC_KEY, "tf", (F.col("tf") * F.col("idf") / F.col("norm")).alias("weight"))
     )

@@ -211,3 +211,16 @@ def test_plans_cut_early_and_prune(spark, sf_dir, capsys):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     filters.filter_entity(index.docs, ["src1"]).select("doc_id").explain()
     assert "PushedFilters: [IsNotNull(entity_id), EqualTo(entity_id,src1)]" in capsys.readouterr().out
+
+
+def test_large_vocabulary_is_joined_by_term_and_salt(spark, sf_dir, monkeypatch):
+    docs = T.documents(spark, sf_dir).limit(40)
+    index = docsearch.build_sparse_index(docs, PARAMS)
+    columns = ["term", "doc_id", "tf", F.round("weight", 9).alias("weight")]
+    expected = sorted(map(tuple, index.postings.select(*columns).collect()))
+    monkeypatch.setattr(sparse, "VOCABULARY_IN_MEMORY", 0)
+    monkeypatch.setattr(sparse, "BROADCAST_ROWS", 0)
+    joined = sparse.tfidf_weights(index.docs, index.vocab, index.params, index.vocab_rows)
+    assert sorted(map(tuple, joined.select(*columns).collect())) == expected
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan
