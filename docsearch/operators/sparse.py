@@ -172,14 +172,14 @@ def _weigh_in_row(tokenised: DataFrame, vocab: DataFrame, params: SparseParams)
     )
 
 
-def with_term_idf(counts: DataFrame, vocab: DataFrame, vocab_rows: int) -> DataFrame:
+def with_term_idf(counts: DataFrame, vocab: DataFrame, vocab_rows: int | None) -> DataFrame:
     """Counts of terms with their idf; terms outside the vocabulary vanish.
 
-    A vocabulary above the broadcast bound is joined by term and salt, so that the
+    A vocabulary above the broadcast bound, or of unknown size, is joined by term and salt, so that the
     counts of a term that every document has are spread over many tasks.
     """
     idf_of = vocab.select("term", "idf")
-    if vocab_rows <= BROADCAST_ROWS:
+    if vocab_rows is not None and vocab_rows <= BROADCAST_ROWS:
         return counts.join(F.broadcast(idf_of), "term")
     salted = counts.withColumn("_salt", F.pmod(F.xxhash64(*DOC_KEY), F.lit(_SALTS)).cast("int"))
     salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt")
@@ -187,7 +187,7 @@ def with_term_idf(counts: DataFrame, vocab: DataFrame, vocab_rows: int) -> DataF
 
 
 def _weigh_by_join(
-    tokenised: DataFrame, vocab: DataFrame, params: SparseParams, vocab_rows: int,
+    tokenised: DataFrame, vocab: DataFrame, params: SparseParams, vocab_rows: int | None = None,
 ) -> DataFrame:
     """The vocabulary is large: join it, and normalise over each document."""
     counts = term_frequency(tokenised, params.ngram_range)
