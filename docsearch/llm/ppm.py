@@ -15,7 +15,8 @@ bytes after any context sum to one.
 2. Counts of a bucket are summed over up to ``FAN`` chunks, then over all. A bucket
    holds whole subtrees, so the code length of all its windows follows; counts of the
    contexts below ``BASE`` bytes (at most 256 ** 3 numbers) are broadcast.
-3. Buckets answer the chunks, and each chunk sums its texts.
+3. Buckets answer each group of chunks with what it has asked for, and each chunk sums its
+   texts. No chunk is sent what others ask.
 
 ``adaptive_score`` learns from nothing but the text itself, byte by byte.
 
@@ -179,15 +180,27 @@ def _roots(tails: np.ndarray, n: np.ndarray) -> P.Roots:
     return P.Roots([P.Level(*P.sums_by(P.tail(tails, k), n)) for k in range(BASE)])
 
 
+_VALUED = "bucket int, salt int, keys binary, values binary, total double, kinds double"
+
+
 def _valuer(order: int, n_buckets: int, roots):
-    """Code lengths of the windows of a bucket; counts of its words."""
+    """Code lengths of the windows of a bucket, or counts of its words: a row for each salt, with
+    the keys that it has listed. The sums of a bucket of words stand in its first row."""
     def run(table: pa.Table) -> pa.Table:
-        bucket = table["bucket"][0].as_py()
-        keys, values = _merge(_parts(table))
-        if bucket < n_buckets:
-            cost = P.code_lengths(keys, values, order, roots.value).astype(np.float32)
-            return _packed([(bucket, None, None, pack(keys), cost.tobytes())])
-        return _packed([(bucket, None, None, pack(keys), pack_counts(values))])
+        bucket, parts = table["bucket"][0].as_py(), _parts(table)
+        keys, counts = _merge(parts)
+        is_word = bucket >= n_buckets
+        found = counts if is_word else P.code_lengths(keys, counts, order, roots.value)
+        packed = pack_counts if is_word else (lambda cost: cost.astype(np.float32).tobytes())
+        rest = [0.0] * (len(parts) - 1)
+        return pa.table([
+            pa.array([bucket] * len(parts), pa.int32()), table["salt"].cast(pa.int32()),
+            pa.array([pack(asked) for asked, _ in parts], pa.binary()),
+            pa.array([packed(found[np.searchsorted(keys, asked)]) for asked, _ in parts],
+                     pa.binary()),
+            pa.array([counts.sum() * is_word] + rest, pa.float64()),
+            pa.array([float((counts > 0).sum() * is_word)] + rest, pa.float64())],
+            names=["bucket", "salt", "keys", "values", "total", "kinds"])
     return run
 
 
@@ -266,15 +279,12 @@ def score(docs: DataFrame, learn: Column | None = None, order: int = ORDER,
     roots = spark.sparkContext.broadcast(_roots(
         tails["tail"].to_numpy(np.int64).view(np.uint64), tails["n"].to_numpy(float)))
     values = C.written(summed.groupBy("bucket").applyInArrow(
-        _valuer(order, n_buckets, roots), _PACKED), "values")
-    counted = values.filter(F.col("bucket") >= n_buckets).select("keys", "values").mapInArrow(
-        _totals, "total double, kinds double").agg(F.sum("total"), F.sum("kinds")).first()
+        _valuer(order, n_buckets, roots), _VALUED), "values")
+    counted = values.agg(F.sum("total"), F.sum("kinds")).first()
     learned = float(size["learned"] or 0)
     totals = (counted[0] or 0.0) + learned, (counted[1] or 0.0) + (learned > 0), learned
-    salts = F.explode(F.expr(f"transform(sequence(0, {n_salts - 1}), x -> cast(x as int))"))
-    copies = values.drop("salt").select("bucket", salts.alias("salt"), "chunk", "keys", "values")
-    answers = asked.groupBy("bucket", "salt").cogroup(copies.groupBy("bucket", "salt")).applyInArrow(
-        _answerer, _PACKED)
+    answers = asked.groupBy("bucket", "salt").cogroup(
+        values.drop("total", "kinds").groupBy("bucket", "salt")).applyInArrow(_answerer, _PACKED)
     schema = T.StructType([
         T.StructField("doc_id", docs.schema["doc_id"].dataType),
         T.StructField("held_out", T.BooleanType()),
@@ -284,14 +294,6 @@ def score(docs: DataFrame, learn: Column | None = None, order: int = ORDER,
     return C.per_chunk(rows, answers, _scorer(order, n_buckets, totals), schema)
 
 
-def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        counts = [v for _, v in _parts(pa.table(batch))]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([float(c.sum()) for c in counts]),
-             pa.array([float((c > 0).sum()) for c in counts])], names=["total", "kinds"])
-
-
 class Trie:
     """Counts of the bytes after each context, as a plain dictionary; one text at a time."""
 

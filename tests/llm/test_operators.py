@@ -6,6 +6,7 @@ import math
 import random
 import re
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -133,6 +134,24 @@ def test_ppm_many_chunks_and_salts_agree_with_few(spark, sf_dir):
     assert all(few[k] == pytest.approx(many[k]) for k in few)
 
 
+def test_ppm_buckets_answer_each_salt_with_its_own_keys():
+    lists = [(np.array([2, 5, 9], np.uint64), np.array([1.0, 0, 3])),
+             (np.array([5, 7], np.uint64), np.array([4.0, 0]))]
+    for bucket in (0, 3):
+        table = ppm._packed([(bucket, salt, None, ppm.pack(keys), ppm.pack_counts(n))
+                             for salt, (keys, n) in enumerate(lists)])
+        roots = SimpleNamespace(value=ppm._roots(np.array([2, 5, 9], np.uint64), np.array([1.0, 4, 3])))
+        rows = ppm._valuer(5, 3, roots)(table).to_pylist()
+        assert [ppm.unpack(r["keys"]).tolist() for r in rows] == [[2, 5, 9], [5, 7]]
+        if bucket == 3:
+            assert [ppm.unpack_counts(r["values"], k).tolist() for r, k in zip(rows, (3, 2))] == [
+                [1, 4, 3], [4, 0]]
+        else:
+            costs = [np.frombuffer(r["values"], np.float32) for r in rows]
+            assert costs[0][1] == costs[1][0] and len(costs[1]) == 2
+        assert [(r["total"], r["kinds"]) for r in rows] == [(8, 3) if bucket == 3 else (0, 0), (0, 0)]
+
+
 def test_ppm_odd_rows(spark, odd, none):
     rows = ppm.score(odd).collect()
     assert len(rows) == odd.count()
