@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,12 +18,11 @@ from docsearch.plans.index import DenseIndex, SparseIndex, doc_bucket, index_fro
 from docsearch.runtime import BROADCAST_ROWS, broadcast_if, written
 from docsearch.schema import QUERIES, REQUEST, SparseParams
 
-# Up to this many distinct query terms are pushed to the postings scan.
-PUSHED_TERMS = 2_000
-
-# Up to this many hits are named in the filter of the document scan, in lists that Spark
-# hands to Parquet as they are (longer ones become a range).
+# Up to this many distinct query terms are named in the filter of the postings scan, and up
+# to this many hits in that of the document scan. Beyond, the join finds them.
+PUSHED_TERMS = 200
 PUSHED_HITS = 200
+# Spark hands lists of this length to Parquet as they are; longer ones become a range.
 _PUSHED_LIST = 10
 
 _FILTERED = ("entity_id", "doc_type", "date")
@@ -136,15 +136,22 @@ def _zero_pairs(
     return found
 
 
+def _any_of(column: str, values: list) -> Column:
+    """Whether the column has one of a few values, so that the scan skips pages without them."""
+    lists = [F.col(column).isin(*values[start:start + _PUSHED_LIST])
+             for start in range(0, len(values), _PUSHED_LIST)]
+    return reduce(Column.__or__, lists, F.lit(False))
+
+
 def _postings_of(postings: DataFrame, weights: DataFrame) -> DataFrame:
-    """Postings of the query terms; few terms are pushed to the scan, where
-    postings stand sorted by term."""
+    """Postings of the query terms. Postings stand sorted by term, so the scan reads the pages
+    of a few terms; pages of many terms are most of them, and the join with the weights follows."""
     terms = [
         r["term"] for r in weights.select("term").distinct().limit(PUSHED_TERMS + 1).collect()
     ]
     if not terms or len(terms) > PUSHED_TERMS:
         return postings
-    return postings.filter(F.col("term").isin(*terms))
+    return postings.filter(_any_of("term", sorted(terms)))
 
 
 def sparse_hits(
@@ -254,12 +261,8 @@ def hybrid_hits(
 def _named(hits: DataFrame) -> Column:
     """Filter that names the documents of a few hits, and their buckets."""
     rows = hits.select("doc_id", "doc_bucket").distinct().orderBy("doc_id").collect()
-    ids = [r["doc_id"] for r in rows]
-    named = F.lit(False)
-    for start in range(0, len(ids), _PUSHED_LIST):
-        part = F.col("doc_id").isin(*ids[start:start + _PUSHED_LIST])
-        named = part if start == 0 else named | part
-    return F.col("doc_bucket").isin(*sorted({r["doc_bucket"] for r in rows})) & named
+    return F.col("doc_bucket").isin(*sorted({r["doc_bucket"] for r in rows})) & _any_of(
+        "doc_id", [r["doc_id"] for r in rows])
 
 
 def hydrate_documents(

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 import docsearch
 from checks import tables as T
+from docsearch.operators.sparse import DOC_KEY
 from docsearch.plans import index as I
 from docsearch.plans import search as P
 from docsearch.runtime import new_folder
 from docsearch.schema import SparseParams
 from docsearch.sources import index_store
+from docsearch.sources.bucketed import read_bucketed, write_bucketed
 from docsearch.sources.index_store import DenseStore, HybridStore, SparseStore, due_merge
 from docsearch.streaming import ingest
 
@@ -214,3 +216,24 @@ def test_bytes_read_follow_the_hits(spark, monkeypatch):
     assert all(r["content"] for r in more)
     spark.conf.unset("parquet.hadoop.vectored.io.enabled")
     assert few_bytes * 4 < whole_bytes and few_bytes < more_bytes
+
+
+def test_postings_read_follow_the_query_terms(spark, monkeypatch):
+    """Terms far apart read their pages only; more terms than are named find the same rows."""
+    n = F.col("id")
+    counts = spark.range(400_000).select(
+        F.format_string("t%04d", n % 4000).alias("term"), F.sha2(n.cast("string"), 256).alias("doc_id"),
+        F.lit(0).cast("bigint").alias("batch_id"), (n % 7).alias("tf"))
+    folder = new_folder(spark, "terms")
+    write_bucketed(counts.repartition(2, *DOC_KEY), folder, 2, DOC_KEY, ("term", *DOC_KEY))
+    stored = read_bucketed(spark, [folder], "term string, doc_id string, batch_id bigint, tf bigint",
+                           2, DOC_KEY)
+    terms = [f"t{k:04}" for k in (*range(20, 34), 3990)]
+    weights = spark.createDataFrame([("q", t) for t in terms], "query_id string, term string")
+    spark.conf.set("parquet.hadoop.vectored.io.enabled", "false")
+    few, few_bytes = bytes_read(spark, P._postings_of(stored, weights))
+    monkeypatch.setattr(P, "PUSHED_TERMS", 10)
+    whole, whole_bytes = bytes_read(spark, P._postings_of(stored, weights).join(weights.select("term"), "term"))
+    spark.conf.unset("parquet.hadoop.vectored.io.enabled")
+    assert len(few) == 1500 and sorted(map(tuple, few)) == sorted(map(tuple, whole))
+    assert few_bytes * 2 < whole_bytes
