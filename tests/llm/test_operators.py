@@ -28,7 +28,14 @@ from docsearch.llm import (
     toxicity,
     url_filter,
 )
-from plain_versions import normal, plain_components, plain_cut, plain_fingerprint, words_of
+from plain_versions import (
+    normal,
+    plain_components,
+    plain_cut,
+    plain_fingerprint,
+    plain_languages,
+    words_of,
+)
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that the operators use themselves.
@@ -175,6 +182,24 @@ def test_languages_on_held_out_rows(spark, sf_dir):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_language_decoding_equals_a_plain_version():
+    learn = [["the cat sat on the mat", "Where is it?"], ["der Hund und die Katze", "schön ist es"],
+             ["le chat est sur la table", "où est-il"]]
+    texts = ["the hat", "die Hand 12", "sur le mat", "es", "x", "", "cat und chat " * 30]
+    size = len(language_id.SIZES) * language_id.BUCKETS
+    counts = np.zeros((len(learn), size))
+    for place, known in enumerate(learn):
+        for _, _, codes, _ in language_id._ngrams([t.lower().encode() for t in known]):
+            for c in codes:
+                counts[place] += np.bincount(c, minlength=size)
+    decoder = language_id.Decoder(["en", "de", "fr"], counts)
+    best, share, _ = decoder.decode([t.lower().encode() for t in texts])
+    plain = plain_languages(learn, texts, decoder.code.tolist(), language_id.BUCKETS,
+                            language_id._EVIDENCE)
+    assert [p[1] for p in plain] == pytest.approx(share.tolist(), rel=1e-4)
+    assert all(b == p[0] or p[1] < 0.5 for b, p in zip(best.tolist(), plain, strict=True))
+
+
 def test_language_odd_rows(odd, none):
     decoder = language_id.fit(odd)
     found = collections.Counter(
