@@ -396,16 +396,23 @@ def distinct_filters(spark, sf_dir):
     ])
 
 
-@query("check_results", sql(("dense_top", "docs"), f"""SELECT query_id, d.doc_id,
+@query("check_results", sql(("dense_scored", "docs"), f"""SELECT query_id, d.doc_id,
     CAST(position AS INTEGER) AS rank, round(least(score * CASE CAST(d.doc_id AS BIGINT) % 3
         WHEN 0 THEN -1.0 WHEN 1 THEN 1.0 ELSE 1.5 END, 1.0), 6) AS score
-    FROM dense_top s JOIN docs d USING (doc_id)
-    WHERE CAST(d.doc_id AS BIGINT) % 3 <> 0 AND CAST(d.doc_id AS BIGINT) % 5 <> 0
-        AND NOT {blank("d.content")}"""))
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)
+        AS position FROM dense_scored) s JOIN docs d USING (doc_id)
+    WHERE score * CASE CAST(d.doc_id AS BIGINT) % 3 WHEN 0 THEN -1.0 WHEN 1 THEN 1.0 ELSE 1.5 END >= 0
+        AND CAST(d.doc_id AS BIGINT) % 5 <> 0 AND NOT {blank("d.content")}"""))
 def check_results(spark, sf_dir):
-    """First rows of each query, some with a score below 0 or above 1 or a blank snippet."""
+    """All rows of each query, some with a score below 0 or above 1 or a blank snippet."""
     queries = T.with_vectors(T.benchmark_queries(spark, sf_dir), spark, sf_dir)
-    hits = P.dense_hits(T.dense_index(spark, sf_dir), queries, P.query_bounds(queries))
+    index, n_queries = T.dense_index(spark, sf_dir), P.query_bounds(queries).n
+    # No score is below -2, whatever the rounding.
+    everything = queries.withColumns({
+        "similarity_threshold": F.lit(-2.0), "max_results": F.lit(index.n_vectors).cast("int"),
+    })
+    hits = P.dense_hits(
+        index, everything, P.QueryBounds(n_queries, index.n_vectors, 0, False), factor=1)
     n = F.col("doc_id").cast("long")
     texts = T.documents(spark, sf_dir).select("doc_id", F.when(
         n % 5 == 0, F.lit(" \n")).otherwise(F.col("content")).alias("context_snippet"))

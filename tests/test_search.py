@@ -2,13 +2,17 @@ import math
 import tempfile
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import docsearch
+from checks import ingest_queries  # noqa: F401
 from checks import tables as T
+from checks.registry import QUERIES
 from docsearch.functions import text as X
-from docsearch.operators import dense, filters, sparse
+from docsearch.operators import dense, filters, kernels, sparse
 from docsearch.plans import index as I
 from docsearch.plans import search as P
 from docsearch.runtime import written
@@ -224,3 +228,37 @@ def test_large_vocabulary_is_joined_by_term_and_salt(spark, sf_dir, monkeypatch)
     assert sorted(map(tuple, joined.select(*columns).collect())) == expected
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert "_salt" in plan
+
+
+def test_check_results_checks_every_pair(spark, sf_dir):
+    """No cut stands before the check: every vector with a sound row is there for every query."""
+    index = T.dense_index(spark, sf_dir)
+    rows = QUERIES["check_results"](spark, sf_dir).collect()
+    ranks = {}
+    for r in rows:
+        assert r["score"] >= 0 and int(r["doc_id"]) % 5
+        ranks.setdefault(r["query_id"], []).append(r["rank"])
+    assert max(max(x) for x in ranks.values()) > index.n_vectors // 2 > 20
+    assert min(len(x) for x in ranks.values()) > 2 * 10
+
+
+def test_a_task_sends_hits_on_before_it_holds_too_many(monkeypatch):
+    monkeypatch.setattr(kernels, "_HELD_ROWS", 10)
+    rng = np.random.default_rng(1)
+    vectors, asked = rng.normal(size=(60, 4)), rng.normal(size=(3, 4))
+
+    def hits(k):
+        batches = [pa.record_batch({
+            "doc_id": pa.array([str(i) for i in range(at, at + 6)]),
+            "batch_id": pa.array([0] * 6, pa.int64()),
+            "embedding": pa.array(vectors[at:at + 6].tolist())}) for at in range(0, 60, 6)]
+        run = kernels.batch_scorer(["a", "b", "c"], asked, [-9.0] * 3, [k] * 3, None)
+        return list(run(iter(batches)))
+
+    everything = hits(60)
+    assert len(everything) > 1 and sum(b.num_rows for b in everything) == 180
+    for q, name in enumerate("abc"):
+        best = {str(i) for i in np.argsort(-np.minimum(vectors @ asked[q], 1.0))[:5]}
+        found = {d for b in hits(5) for n, d in zip(
+            b.column(0).to_pylist(), b.column(1).to_pylist()) if n == name}
+        assert best <= found
