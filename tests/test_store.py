@@ -237,3 +237,18 @@ def test_postings_read_follow_the_query_terms(spark, monkeypatch):
     spark.conf.unset("parquet.hadoop.vectored.io.enabled")
     assert len(few) == 1500 and sorted(map(tuple, few)) == sorted(map(tuple, whole))
     assert few_bytes * 2 < whole_bytes
+
+
+def test_buckets_grow_with_the_text(spark):
+    """A task sorts and scores one bucket, so a gigabyte of text is not left to a few of them."""
+    postings, docs = SparseStore(spark, new_folder(spark, "sized"))._buckets_for(1 << 30)
+    assert postings == docs >= 64
+
+
+def test_a_large_statistics_table_is_made_once(spark, sample, monkeypatch):
+    """The vocabulary is cut in several passes; the tokens are counted before them, once."""
+    made = []
+    kept = I.written
+    monkeypatch.setattr(I, "written", lambda df, name: made.append(name) or kept(df, name))
+    index = I.build_sparse_index(sample, SparseParams(stop_words=("the",)))
+    assert made == ["docs", "freq", "vocab"] and index.vocab_rows > 0
