@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import docsearch
 from checks import tables as T
+from docsearch.operators import sparse
 from docsearch.operators.sparse import DOC_KEY
 from docsearch.plans import index as I
 from docsearch.plans import search as P
@@ -252,3 +253,59 @@ def test_a_large_statistics_table_is_made_once(spark, sample, monkeypatch):
     monkeypatch.setattr(I, "written", lambda df, name: made.append(name) or kept(df, name))
     index = I.build_sparse_index(sample, SparseParams(stop_words=("the",)))
     assert made == ["docs", "freq", "vocab"] and index.vocab_rows > 0
+
+
+def _word_docs(spark, texts):
+    return spark.createDataFrame(
+        [(f"d{i:03}", t) for i, t in enumerate(texts)], "doc_id string, content string"
+    ).selectExpr("doc_id", "content", "'e' as entity_id", "'invoice' as doc_type",
+                 "cast(null as timestamp_ntz) as date")
+
+
+def _texts(n, common):
+    rare = [f"rare{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(n)]
+    return [" ".join([*common, f"{w}x", common[i % len(common)], f"{w}y"]) for i, w in enumerate(rare)]
+
+
+def test_only_terms_that_can_be_in_the_vocabulary_are_counted_and_stored(spark):
+    """Rare runs of words were written and shuffled, nearly one for each word of the corpus."""
+    params = SparseParams(max_features=3, max_df=1.0, stop_words=())
+    docs = _word_docs(spark, _texts(40, ("alpha", "beta", "gamma", "delta")))
+    store = SparseStore(spark, new_folder(spark, "cut"), params, 2, 2)
+    store.append(docs)
+    index = store.refresh()
+    tokens = I.tokenised_documents(docs, params)
+    whole = sparse.term_statistics(tokens, params.ngram_range)
+    plain = sparse.document_frequency(sparse.term_frequency(tokens, params.ngram_range))
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, plain.collect()))
+    freq, floor = sparse.vocabulary_statistics(tokens, 40, params)
+    assert floor > 1 and freq.count() < 20 < whole.count()
+    expected = sparse.prune_vocabulary(whole, 40, params).collect()
+    assert sorted(r["term"] for r in index.vocab.collect()) == sorted(r["term"] for r in expected)
+    assert index.counts.select("term").distinct().count() <= index_store.AHEAD * 3
+    held = {(r["term"], r["doc_id"]): r["tf"] for r in index.postings.collect()}
+    tf = sparse.term_frequency(tokens, params.ngram_range).collect()
+    kept = {r["term"] for r in expected}
+    assert held == {(r["term"], r["doc_id"]): r["tf"] for r in tf if r["term"] in kept}
+
+
+@pytest.mark.parametrize("ngram_range", [(1, 2), (2, 3)])
+def test_terms_that_come_into_the_vocabulary_are_counted_in_older_segments(spark, monkeypatch, ngram_range):
+    monkeypatch.setattr(index_store, "AHEAD", 1)
+    params = SparseParams(max_features=4, max_df=1.0, ngram_range=ngram_range, stop_words=())
+    first = _word_docs(spark, [*_texts(30, ("alpha", "beta", "gamma")), "hosting fees fair", "hosting fees"])
+    second = _word_docs(spark, ["hosting fees fair hosting fees fair"] * 60).withColumn(
+        "doc_id", F.concat(F.lit("n"), "doc_id"))
+    store = SparseStore(spark, new_folder(spark, "risen"), params, 2, 2)
+    store.append(first)
+    before = store.refresh()
+    store.append(second)
+    index = store.refresh()
+    assert len(store._meta()["parts"]) == 3 and len(store._state()[0]) == 2
+    whole = I.build_sparse_index(first.unionByName(second), params)
+
+    def rows(of):
+        return sorted((r["term"], r["doc_id"], r["tf"], round(r["weight"], 9)) for r in of.postings.collect())
+
+    assert rows(index) == rows(whole) and rows(before) != rows(index)
+    assert found(index, spark) == found(whole, spark)
