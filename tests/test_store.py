@@ -2,8 +2,10 @@
 
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 import docsearch
 from checks import tables as T
@@ -309,3 +311,39 @@ def test_terms_that_come_into_the_vocabulary_are_counted_in_older_segments(spark
 
     assert rows(index) == rows(whole) and rows(before) != rows(index)
     assert found(index, spark) == found(whole, spark)
+
+
+def test_tokens_are_made_behind_the_exchange_of_the_documents(spark, sf_dir, monkeypatch):
+    """Tokens went through the exchange and the sort beside the text, and took twice its room there."""
+    plans, kept = [], DataFrameWriter.parquet
+
+    def parquet(self, path, *args, **options):
+        plans.append((path, plan_of(self._df)))
+        return kept(self, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    docs = T.documents(spark, sf_dir)
+    store = SparseStore(spark, new_folder(spark, "behind"), PARAMS, 2, 2)
+    store.append(docs)
+    above, below = next(p for path, p in plans if "/docs/segment=" in path).split("Exchange", 1)
+    assert "regexp_extract_all" in above and "regexp_extract_all" not in below
+    files = [os.path.join(at, f) for at, _, fs in os.walk(f"{store.root}/docs") for f in fs
+             if f.endswith(".parquet")]
+    ids = [pq.ParquetFile(f).read(columns=["doc_id"])["doc_id"].to_pylist() for f in files]
+    assert all(part == sorted(part) for part in ids)
+    stored = store._docs(list(store._state()[0]))
+    plain = I.tokenised_documents(docs, PARAMS)
+    assert sorted(map(tuple, stored.select("doc_id", "content", "tokens").collect())) == sorted(
+        map(tuple, plain.select("doc_id", "content", "tokens").collect()))
+
+
+def test_stored_tables_take_the_smaller_codec(spark, sample):
+    store = SparseStore(spark, new_folder(spark, "small"), PARAMS, 2, 2)
+    store.append(sample)
+    store.refresh()
+    for table in ("docs", "words", "postings", "versions"):
+        files = [os.path.join(at, f) for at, _, fs in os.walk(f"{store.root}/{table}") for f in fs
+                 if f.endswith(".parquet") and "vocab" not in at]
+        footers = [pq.ParquetFile(f).metadata for f in files]
+        found = {m.row_group(0).column(0).compression for m in footers if m.num_row_groups}
+        assert found == {"ZSTD"}
