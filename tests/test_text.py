@@ -26,6 +26,21 @@ def test_clean_text(spark, raw, cleaned):
     assert one(spark, raw, X.survives_cleaning("t")) == (cleaned != "")
 
 
+def test_clean_text_leaves_single_spaces_alone_and_is_as_with_plain_patterns(spark):
+    """Each single space was matched and put in again, in two passes."""
+    dice = random.Random(7)
+    signs = "ab9é$.,/-_  \t\n\x1c\x1f\x85\xa0\u2028\u3000!?#€½"
+    texts = ["".join(dice.choice(signs) for _ in range(dice.randrange(30))) for _ in range(400)]
+    spaces = F.trim(F.regexp_replace(F.lower("t"), rf"(?U)[{X._SPACE}]+", " "))
+    gaps = F.regexp_replace(X.mask_patterns(spaces), rf"[^{X._KEPT} ]", " ")
+    plain = F.trim(F.regexp_replace(gaps, " +", " "))
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        X.collapse_spaces(F.lower("t")), spaces, X.clean_text("t"), plain).collect()
+    assert all(r[0] == r[1] and r[2] == r[3] for r in rows)
+    assert ",  +," not in str(spark.sql("select '' t").select(
+        X.clean_text("t"))._jdf.queryExecution().analyzed())
+
+
 def test_extraction_reads_raw_text(spark):
     raw = "Invoice # A77 and PO 9, due 01/02/2024, $1,234.50"
     assert one(spark, raw, X.extract_invoice_numbers("t")) == ["A77"]
