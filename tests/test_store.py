@@ -2,6 +2,7 @@
 
 import os
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql.readwriter import DataFrameWriter
 
 import docsearch
 from checks import tables as T
-from docsearch.operators import sparse
+from docsearch.operators import kernels, sparse
 from docsearch.operators.sparse import DOC_KEY
 from docsearch.plans import index as I
 from docsearch.plans import search as P
@@ -347,3 +348,26 @@ def test_stored_tables_take_the_smaller_codec(spark, sample):
         footers = [pq.ParquetFile(f).metadata for f in files]
         found = {m.row_group(0).column(0).compression for m in footers if m.num_row_groups}
         assert found == {"ZSTD"}
+
+
+def test_runs_of_words_leave_a_batch_in_order():
+    """In order, neighbours share their first words, and the shuffle holds them in less room."""
+    batch = pa.RecordBatch.from_pylist(
+        [{"tokens": ["pear", "fig", "pear", "apple"]}, {"tokens": []}, {"tokens": ["fig", "pear", "fig"]}])
+    found = [b.to_pydict() for b in kernels.statistics_counter(1, 2)(iter([batch]))]
+    assert [b["term"] for b in found] == [
+        ["apple", "fig", "pear"], ["fig pear", "pear apple", "pear fig"]]
+    assert [b["df"] for b in found] == [[1, 2, 2], [2, 1, 2]]
+    assert [b["ctf"] for b in found] == [[1, 3, 3], [2, 1, 2]]
+
+
+def test_runs_of_words_are_dealt_before_they_are_summed(spark, sample):
+    """A table of all runs of a task was made before the exchange; it saved little and spilled."""
+    tokens = I.tokenised_documents(sample, PARAMS)
+    plan = plan_of(sparse.term_statistics(tokens, (1, 2)))
+    above, below = plan.split("Exchange", 1)
+    assert above.count("HashAggregate") == 2 and "HashAggregate" not in below
+    for low, high in ((1, 1), (1, 2), (2, 3)):
+        found = sparse.term_statistics(tokens, (low, high)).collect()
+        plain = sparse.document_frequency(sparse.term_frequency(tokens, (low, high))).collect()
+        assert sorted(map(tuple, found)) == sorted(map(tuple, plain))
