@@ -536,6 +536,42 @@ def test_url_models_learn_from_every_url(spark, monkeypatch):
         assert abs(r["score"] - plain.score(r["host"] + r["path"])) < 1e-6
 
 
+def test_url_models_are_not_sent_to_the_driver(spark, monkeypatch):
+    """Only the bounded number of frequent windows is broadcast, and scores don't depend on the bound."""
+    rng = random.Random(4)
+    urls = [f"http://s{rng.randrange(9)}.{end}/{i}" for i, end in enumerate(
+        ["org/wiki", "com/de", "net/wiki", "net/de"] * 150)] + ["http://s1.net/wiki/2"] * 3
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    expected = {r["page_id"]: r["score"] for r in url_filter.judge(pages, queries.URL_RULES).collect()}
+    sent, plans = [], {}
+    broadcast, written = url_filter.F.broadcast, url_filter.written
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def sending(df):
+        sent.extend([df.count()] * ("window" in df.columns))
+        return broadcast(df)
+
+    def writing(df, name):
+        plans[name] = plan(df)
+        return written(df, name)
+
+    monkeypatch.setattr(url_filter, "_FREQUENT", 64, raising=False)
+    monkeypatch.setattr(url_filter.F, "broadcast", sending)
+    monkeypatch.setattr(url_filter, "written", writing)
+    judged = url_filter.judge(pages, queries.URL_RULES)
+    found = {r["page_id"]: r["score"] for r in judged.collect()}
+    assert len(sent) == 1 and 0 < sent[0] < 64
+    # Stored tables are small here, and Spark would broadcast them if it were let.
+    assert [plans[x].count("BroadcastExchange") for x in ("weights", "differences")] == [0, 2]
+    assert "BroadcastExchange" not in plan(judged)
+    assert found.keys() == expected.keys() and len(found) == len(urls)
+    for page, score in expected.items():
+        assert (score is None) == (found[page] is None)
+        assert score is None or abs(score - found[page]) < 1e-9
+
+
 # --- 8: substring dedup -----------------------------------------------------------------------------------
 
 
